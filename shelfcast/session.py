@@ -27,5 +27,7 @@ def builder(app_name: str = "shelfcast", *, shuffled_bytes: int = 0, cores: int
         # A hot join key: AQE splits the partition it lands in and copies only the matching piece of the other side.
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(TARGET_PARTITION_BYTES))
+        # Column call sites are looked up through the gateway, once per expression.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.enabled", "false")
     )

@@ -6,7 +6,8 @@ import datetime as dt
 import functools
 import tempfile
 import uuid
-from dataclasses import dataclass
+from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,16 +15,35 @@ from pyspark.sql import functions as F
 from shelfcast.sources import contracts
 
 
-@dataclass(frozen=True)
 class PlanningTables:
-    """The six inputs of a planning cycle."""
+    """The six inputs of a planning cycle. Each is opened when it is first used, and once only."""
 
-    materials: DataFrame
-    customers: DataFrame
-    actuals: DataFrame
-    forecast: DataFrame
-    inventory: DataFrame
-    supply: DataFrame
+    def __init__(self, open_table: Callable[[str], DataFrame]):
+        self._open = open_table
+
+    @cached_property
+    def materials(self) -> DataFrame:
+        return self._open("materials")
+
+    @cached_property
+    def customers(self) -> DataFrame:
+        return self._open("customers")
+
+    @cached_property
+    def actuals(self) -> DataFrame:
+        return self._open("actuals")
+
+    @cached_property
+    def forecast(self) -> DataFrame:
+        return self._open("forecast")
+
+    @cached_property
+    def inventory(self) -> DataFrame:
+        return self._open("inventory")
+
+    @cached_property
+    def supply(self) -> DataFrame:
+        return self._open("supply")
 
 
 # Which table feeds which field of `PlanningTables`.
@@ -44,7 +64,7 @@ def read_table(spark: SparkSession, name: str, *, root: str | None = None, cast:
 
 
 def read_inputs(spark: SparkSession, *, root: str | None = None, cast: bool = False) -> PlanningTables:
-    return PlanningTables(**{field: read_table(spark, name, root=root, cast=cast) for field, name in INPUTS.items()})
+    return PlanningTables(lambda field: read_table(spark, INPUTS[field], root=root, cast=cast))
 
 
 def create_table(df: DataFrame, name: str) -> DataFrame:
