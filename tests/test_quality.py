@@ -1,0 +1,165 @@
+"""Quality checks on a small table of demand with one of each defect."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+import pytest
+
+from planning_case import AS_OF, tables
+from shelfcast.operators import quality
+from shelfcast.plans import validation
+from shelfcast.sources.contracts import DEMAND_ACTUALS, SCHEMAS
+
+MAY, JUNE = dt.date(2026, 5, 1), dt.date(2026, 6, 1)
+KEY = ["Demand_Month", "Customer_ID", "Material_ID"]
+REQUIRED = [*KEY, "Actual_Demand_Units"]
+ROWS = [
+    (MAY, "C1", "A", 10),
+    (MAY, "C1", "A", 10),
+    (MAY, "C1", "B", 5),
+    (MAY, "C1", "B", 6),
+    (JUNE, "C2", "A", None),
+    (JUNE, "C2", "A", None),
+    (JUNE, "C9", "A", -3),
+    (JUNE, "C1", "Z", 4),
+    (JUNE, None, "A", 1),
+]
+
+
+@pytest.fixture(scope="module")
+def actuals(spark):
+    return spark.createDataFrame(ROWS, SCHEMAS[DEMAND_ACTUALS])
+
+
+@pytest.fixture(scope="module")
+def nothing(spark):
+    return spark.createDataFrame([], SCHEMAS[DEMAND_ACTUALS])
+
+
+def only_row(df):
+    (row,) = df.collect()
+    return tuple(row)
+
+
+def test_counts_and_keys(actuals, nothing):
+    assert only_row(quality.row_count(actuals)) == (9,)
+    assert only_row(quality.key_uniqueness(actuals, KEY)) == (9, 5, 3, 3)
+    assert only_row(quality.key_uniqueness(nothing, KEY)) == (0, 0, 0, 0)
+    assert only_row(quality.distinct_count(actuals, ["Customer_ID", "Material_ID"])) == (5,)
+    assert only_row(quality.distinct_count(actuals, ["Customer_ID", "Material_ID"], approx=True)) == (5,)
+
+
+def test_duplicates(actuals):
+    groups = {
+        (row.Customer_ID, row.Material_ID): (row.Row_Count, row.Distinct_Demand_Values, row.Duplicate_Class)
+        for row in quality.duplicate_groups(actuals, KEY, "Actual_Demand_Units").collect()
+    }
+    assert groups == {("C1", "A"): (2, 1, "exact"), ("C1", "B"): (2, 2, "conflicting"), ("C2", "A"): (2, 0, "exact")}
+    assert quality.duplicate_groups(actuals, KEY).columns == [*KEY, "Row_Count"]
+    assert quality.duplicate_rows(actuals, KEY).count() == 6
+
+
+def test_a_missing_value_next_to_a_known_one_conflicts(spark):
+    mixed = spark.createDataFrame([(MAY, "C1", "A", 1), (MAY, "C1", "A", None)], SCHEMAS[DEMAND_ACTUALS])
+    assert quality.duplicate_groups(mixed, KEY, "Actual_Demand_Units").collect()[0].Duplicate_Class == "conflicting"
+
+
+def test_duplicate_rows_with_missing_keys(spark):
+    rows = [(MAY, None, "A", 1), (MAY, None, "A", 2), (MAY, None, "B", 3)]
+    assert quality.duplicate_rows(spark.createDataFrame(rows, SCHEMAS[DEMAND_ACTUALS]), KEY).count() == 2
+
+
+def test_dedupe(actuals, nothing):
+    assert quality.dedupe_exact(actuals).count() == 7
+    assert only_row(quality.dedupe_loss(actuals)) == (9, 7, 2)
+    assert only_row(quality.dedupe_loss(nothing)) == (0, 0, 0)
+
+
+def test_rows_matching(actuals):
+    assert quality.rows_matching(actuals, {"Demand_Month": MAY, "Customer_ID": "C1", "Material_ID": "A"}).count() == 2
+    assert quality.rows_matching(actuals, {"Customer_ID": None}).count() == 1
+
+
+def test_missing_values(actuals, nothing):
+    assert quality.required_fields(actuals, REQUIRED).count() == 3
+    assert only_row(quality.null_profile(actuals, REQUIRED)) == (9, 0, 1, 0, 2)
+    assert only_row(quality.null_profile(nothing, REQUIRED)) == (0, 0, 0, 0, 0)
+
+
+def test_ranges(spark, actuals):
+    rules = quality.non_negative("Actual_Demand_Units")
+    (row,) = quality.range_violations(actuals, rules).collect()
+    assert (row.Actual_Demand_Units, row.Violated_Rules) == (-3, "Negative_Actual_Demand_Units")
+    stock = spark.createDataFrame([(1, 2), (-1, 0), (1, None)], "held int, available int")
+    rules = [*quality.non_negative("held"), quality.not_above("available", "held")]
+    assert [r.Violated_Rules for r in quality.range_violations(stock, rules).orderBy("held").collect()] == [
+        "Negative_held,available_Above_held",
+        "available_Above_held",
+    ]
+    assert {tuple(r) for r in quality.rule_counts(stock, rules).collect()} == {("Negative_held", 1), ("available_Above_held", 2)}
+
+
+def test_orphans(spark, actuals):
+    materials = spark.createDataFrame([("A",), ("B",)], "Material_ID string")
+    customers = spark.createDataFrame([("C1",), ("C2",)], "Customer_ID string")
+    assert [r.Material_ID for r in quality.orphans(actuals, materials, "Material_ID").collect()] == ["Z"]
+    assert {r.Customer_ID for r in quality.orphans(actuals, customers, "Customer_ID").collect()} == {"C9", None}
+    assert {tuple(r) for r in quality.orphan_keys(actuals, customers, "Customer_ID").collect()} == {("C9", 1), (None, 1)}
+    # Rows with and without a master record make up the table.
+    known = actuals.join(materials, "Material_ID", "left_semi").count()
+    assert known + quality.orphans(actuals, materials, "Material_ID").count() == len(ROWS)
+
+
+def test_coverage(actuals, nothing):
+    assert only_row(quality.coverage(actuals, "Demand_Month")) == (2, MAY, JUNE)
+    assert only_row(quality.coverage(nothing, "Demand_Month")) == (0, None, None)
+    assert [r.Demand_Month for r in quality.distinct_values(actuals, "Demand_Month").collect()] == [MAY, JUNE]
+    assert quality.incomplete_history(actuals, ["Customer_ID", "Material_ID"], "Demand_Month", 2).count() == 6
+    assert quality.incomplete_history(actuals, ["Customer_ID", "Material_ID"], "Demand_Month", 1).count() == 0
+
+
+def test_status_distribution_counts_missing_status(spark):
+    got = [tuple(r) for r in quality.status_distribution(tables(spark).supply).collect()]
+    assert got == [("Confirmed", 8, 180), ("At Risk", 3, 20), ("Planned", 3, 25), (None, 1, 100), ("confirmed", 1, 100)]
+
+
+def test_multi_site(spark):
+    stock = [(AS_OF, "G", "S1", 1, 0, 1, 0), (AS_OF, "G", "S2", 1, 0, 1, 0), (AS_OF, "K", "S1", 1, 0, 1, 0)]
+    case = tables(spark, inventory=stock)
+    assert [tuple(r) for r in quality.multi_site_materials(case.inventory).collect()] == [("G", 2)]
+
+
+def test_quality_summary(spark):
+    stock = [
+        (AS_OF, "A", "S1", 5, 0, 9, 0),
+        (AS_OF, "A", "S2", 5, -1, 5, 0),
+        (AS_OF, "B", None, 5, 0, 5, 0),
+        (AS_OF, "X", "S1", 5, 0, 5, 0),
+    ]
+    case = tables(spark, actuals=ROWS, inventory=stock, customers=[("C1",), ("C2",), ("C2",)])
+    found = {
+        (row.Table_Name, row.Check_Name): row.Violations
+        for row in validation.quality_summary(case, history_months=2).collect()
+    }
+    expected = {
+        ("demand_actuals_raw", "Rows"): 9,
+        ("demand_actuals_raw", "Duplicate_Keys"): 3,
+        ("demand_actuals_raw", "Null_Customer_ID"): 1,
+        ("demand_actuals_raw", "Null_Actual_Demand_Units"): 2,
+        ("demand_actuals_raw", "Negative_Actual_Demand_Units"): 1,
+        ("demand_actuals_raw", "Orphan_Material_ID"): 1,
+        ("demand_actuals_raw", "Orphan_Customer_ID"): 2,
+        ("demand_actuals_raw", "Incomplete_History"): 6,
+        ("customer_master_raw", "Duplicate_Keys"): 1,
+        ("inventory_snapshot_raw", "Available_Inventory_Units_Above_On_Hand_Units"): 1,
+        ("inventory_snapshot_raw", "Negative_Quality_Hold_Units"): 1,
+        ("inventory_snapshot_raw", "Null_Site_ID"): 1,
+        ("inventory_snapshot_raw", "Orphan_Material_ID"): 1,
+        ("inventory_snapshot_raw", "Multi_Site_Materials"): 1,
+        ("planned_supply_raw", "Null_Supply_Status"): 1,
+        ("planned_supply_raw", "Negative_Planned_Supply_Units"): 0,
+    }
+    assert {check: found[check] for check in expected} == expected
+    # 6 tables x (rows, duplicate keys), 19 required fields, 7 rules, 6 references, history, sites
+    assert len(found) == 12 + 19 + 7 + 6 + 2
