@@ -12,16 +12,30 @@ from shelfcast.operators.scenarios import CRITICAL
 from shelfcast.sources.contracts import MONEY
 
 
+def _per_material(report: DataFrame, *keys: str) -> DataFrame:
+    """One row per material (within ``keys``), so that counting rows counts materials without another distinct."""
+    return report.groupBy("Material_ID", *keys).agg(
+        F.max((F.col("Stockout_Status") == CRITICAL).cast("int")).alias("critical"),
+        F.sum("Stockout_Units").alias("units"),
+        F.sum("Stockout_Value_USD").alias("value"),
+        F.sum("Remaining_Shortfall_Units").alias("remaining"),
+    )
+
+
 def kpi_summary(materials: DataFrame, report: DataFrame) -> DataFrame:
     """One row: portfolio size, materials at risk and critical, units short and money at stake."""
     portfolio = materials.agg(F.count_distinct("Material_ID"))
-    critical = F.col("Stockout_Status") == CRITICAL
-    return report.agg(
-        F.count_distinct("Material_ID").alias("Materials_At_Risk"),
-        F.count_distinct(F.when(critical, F.col("Material_ID"))).alias("Critical_Materials"),
-        F.coalesce(F.sum("Remaining_Shortfall_Units"), F.lit(0)).alias("Critical_Gap_Units"),
-        F.coalesce(F.sum("Stockout_Value_USD"), F.lit(0)).cast(MONEY).alias("Exposure_USD"),
-    ).select(portfolio.scalar().alias("Total_Materials"), "*")
+    known = F.col("Material_ID").isNotNull()
+    return (
+        _per_material(report)
+        .agg(
+            F.count_if(known).alias("Materials_At_Risk"),
+            F.count_if(known & (F.col("critical") == 1)).alias("Critical_Materials"),
+            F.coalesce(F.sum("remaining"), F.lit(0)).alias("Critical_Gap_Units"),
+            F.coalesce(F.sum("value"), F.lit(0)).cast(MONEY).alias("Exposure_USD"),
+        )
+        .select(portfolio.scalar().alias("Total_Materials"), "*")
+    )
 
 
 def plant_exposure(report: DataFrame) -> DataFrame:
@@ -30,13 +44,15 @@ def plant_exposure(report: DataFrame) -> DataFrame:
     Reads ``report`` twice, for the sites and for the total: hand in the stored table.
     """
     whole = report.agg(F.sum("Stockout_Value_USD")).scalar()
+    known = F.col("Material_ID").isNotNull()
     return (
-        report.groupBy("Site_ID")
+        _per_material(report, "Site_ID")
+        .groupBy("Site_ID")
         .agg(
-            F.count_distinct("Material_ID").alias("Materials"),
-            F.count_distinct(F.when(F.col("Stockout_Status") == CRITICAL, F.col("Material_ID"))).alias("Critical_Materials"),
-            F.sum("Stockout_Units").alias("Stockout_Units"),
-            F.sum("Stockout_Value_USD").cast(MONEY).alias("Stockout_Value_USD"),
+            F.count_if(known).alias("Materials"),
+            F.count_if(known & (F.col("critical") == 1)).alias("Critical_Materials"),
+            F.sum("units").alias("Stockout_Units"),
+            F.sum("value").cast(MONEY).alias("Stockout_Value_USD"),
         )
         .withColumn("Value_Share_Pct", percent(F.col("Stockout_Value_USD").cast("double"), whole.cast("double")))
     )

@@ -7,6 +7,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfcast.sources.tables import materialise
+
 # Supply status as stored -> column it is summed into. None is the missing status.
 SUPPLY_COLUMNS: dict[str, str | None] = {
     "Confirmed_Supply": "Confirmed",
@@ -123,17 +125,27 @@ def opening_stock(inventory: DataFrame, *, site_mode: str = "single", pooled_sit
     )
 
 
-def by_material(df: DataFrame) -> DataFrame:
-    """Keep all rows of a material together.
+def _with_stock(flow: DataFrame, stock: DataFrame, site_mode: str) -> DataFrame:
+    """Attach the opening stock to the monthly flow; months of a material without stock row stay.
 
-    Material and month are the grain here, so a material has at most horizon times sites rows whatever the volume of
-    its raw forecasts. Every later window, join and aggregation that includes Material_ID reuses this placement.
+    With one row per material on the stock side this is a left join. By site, one material may hold a large share
+    of the stock rows, and a left join cannot split its right side. So the flow is stored and joined twice: an inner
+    join, in which AQE may split either side, and the rest.
     """
-    return df.repartition("Material_ID")
+    if site_mode != "by_site":
+        return flow.join(stock, "Material_ID", "left")
+    stored = materialise(flow, "monthly_flow")
+    stocked = stock.select("Material_ID").distinct()
+    return stored.join(stock, "Material_ID").unionByName(
+        stored.join(stocked, "Material_ID", "left_anti"), allowMissingColumns=True
+    )
 
 
 def running_inventory(supply_columns: list[str] | tuple[str, ...]) -> Column:
-    """Opening stock plus the running sum of the given supply minus the forecast. Shortages carry forward."""
+    """Opening stock plus the running sum of the given supply minus the forecast. Shortages carry forward.
+
+    A group of this window has one row per month.
+    """
     to_date = (
         Window.partitionBy("Material_ID", "Site_ID").orderBy("Month").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
@@ -158,10 +170,8 @@ def project_inventory(
     projection.
     """
     stock = inventory if as_of is None else latest_snapshot(inventory, as_of)
-    flow = forecast_supply_balance(forecast, supply, spine=spine).join(
-        opening_stock(stock, site_mode=site_mode), "Material_ID", "left"
-    )
-    return by_material(flow).select(
+    flow = forecast_supply_balance(forecast, supply, spine=spine)
+    return _with_stock(flow, opening_stock(stock, site_mode=site_mode), site_mode).select(
         "Month",
         "Material_ID",
         "Site_ID",

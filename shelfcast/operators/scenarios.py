@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.functions.columns import shortfall, worth
-from shelfcast.operators.projection import by_material, running_inventory
+from shelfcast.operators.projection import running_inventory
 from shelfcast.sources.contracts import MATERIAL_ATTRIBUTES
+from shelfcast.sources.tables import materialise
 
 # Scenario column -> supply it counts on. The first scenario, confirmed supply, is part of the analysis table.
 CONFIRMED = "Projected_Inventory"
@@ -26,7 +27,7 @@ STOCKOUT = "Stockout"
 
 def scenario_projection(analysis: DataFrame, scenarios: Mapping[str, Sequence[str]] = SCENARIOS) -> DataFrame:
     """Add one running inventory per scenario; all of them share one sort and one window pass."""
-    return by_material(analysis).select("*", *[running_inventory(list(used)).alias(name) for name, used in scenarios.items()])
+    return analysis.select("*", *[running_inventory(list(used)).alias(name) for name, used in scenarios.items()])
 
 
 def scenario_counts(projected: DataFrame) -> DataFrame:
@@ -60,12 +61,12 @@ def residual_risk(projected: DataFrame) -> DataFrame:
     )
 
 
-def risk_profile(projected: DataFrame) -> DataFrame:
+def risk_profile(projected: DataFrame, *, site_mode: str = "single") -> DataFrame:
     """Everything the later steps need to know about a material and site, in one aggregation.
 
     Worst and first month below zero with planned supply, lowest inventory with at-risk supply, totals over the
-    horizon, and two flags that hold for the material as a whole. The input is placed by material already, so
-    neither the aggregation nor the window shuffles.
+    horizon, and two flags that hold for the material as a whole. Rows are placed by material and site since the
+    running inventory, so the aggregation does not shuffle. ``site_mode`` is the one the projection was made with.
     """
     short = F.col(WITH_PLANNED) < 0
     per_site = projected.groupBy("Material_ID", "Site_ID").agg(
@@ -77,15 +78,19 @@ def risk_profile(projected: DataFrame) -> DataFrame:
         F.sum("Planned_Supply").alias("Planned_Supply"),
         F.sum("At_Risk_Supply").alias("At_Risk_Supply"),
     )
-    material = Window.partitionBy("Material_ID")
-    lowest = F.min("Lowest_Projected_Inventory").over(material)
-    worst = F.min("Worst_Projected_Inventory").over(material)
     # A missing material matches nothing, so it cannot be critical.
-    critical = (lowest < 0) & F.col("Material_ID").isNotNull()
-    return per_site.select(
-        "*",
-        F.when(critical, 1).otherwise(0).alias("Critical_Stockout_Flag"),
-        worst.isNotNull().alias("Material_At_Risk"),
+    flags = {
+        "Critical_Stockout_Flag": F.when((F.col("Lowest_Projected_Inventory") < 0) & F.col("Material_ID").isNotNull(), 1).otherwise(0),
+        "Material_At_Risk": F.col("Worst_Projected_Inventory").isNotNull(),
+    }
+    if site_mode != "by_site":
+        return per_site.withColumns(flags)
+    # A material is critical at all its sites when it is at one. The flags are reduced to one row per material before
+    # they return to the sites; a window would gather all sites of a material in one task.
+    stored = materialise(per_site.withColumns(flags), "risk_by_site")
+    per_material = stored.groupBy("Material_ID").agg(*[F.max(name).alias(name) for name in flags])
+    return stored.drop(*flags).join(per_material, stored["Material_ID"].eqNullSafe(per_material["Material_ID"])).drop(
+        per_material["Material_ID"]
     )
 
 
@@ -130,9 +135,17 @@ def status_counts(final: DataFrame) -> DataFrame:
     return final.groupBy("Stockout_Status").agg(F.count("*").alias("count"))
 
 
-def supply_coverage(profile: DataFrame) -> DataFrame:
-    """Forecast, supply and remaining shortage of critical materials over the horizon, counting all known supply."""
-    return profile.filter((F.col("Critical_Stockout_Flag") == 1) & F.col("Material_At_Risk")).select(
+def supply_coverage(profile: DataFrame, final: DataFrame | None = None) -> DataFrame:
+    """Forecast, supply and remaining shortage of critical materials over the horizon, counting all known supply.
+
+    The critical materials are those of the profile, or those a stored stockout list ``final`` names.
+    """
+    if final is None:
+        critical = profile.filter((F.col("Critical_Stockout_Flag") == 1) & F.col("Material_At_Risk"))
+    else:
+        named = final.filter(F.col("Stockout_Status") == CRITICAL).select("Material_ID")
+        critical = profile.join(named, "Material_ID", "left_semi")
+    return critical.select(
         "Material_ID",
         "Site_ID",
         "Lowest_Projected_Inventory",

@@ -20,6 +20,7 @@ from shelfcast.operators.drivers import (
     shortfall_pareto,
 )
 from shelfcast.operators.projection import first_stockout, stockout_risk_analysis, stockout_timing
+from shelfcast.operators.quality import dedupe_exact
 from shelfcast.operators.scenarios import (
     enrich_and_value,
     prioritise,
@@ -30,10 +31,12 @@ from shelfcast.operators.scenarios import (
     status_counts,
     supply_coverage,
 )
+from shelfcast.plans.validation import quality_summary
 from shelfcast.sources import contracts
 from shelfcast.sources.tables import PlanningTables, write_cycle
 
 PROFILE = "stockout_risk_profile"
+QUALITY = "quality_summary"
 
 Save = Callable[[DataFrame, str], DataFrame]
 
@@ -44,8 +47,8 @@ def analysis_of(tables: PlanningTables, *, as_of: dt.date | None = None, site_mo
     )
 
 
-def profile_of(analysis: DataFrame) -> DataFrame:
-    return risk_profile(scenario_projection(analysis))
+def profile_of(analysis: DataFrame, *, site_mode: str = "single") -> DataFrame:
+    return risk_profile(scenario_projection(analysis), site_mode=site_mode)
 
 
 def stockouts_of(profile: DataFrame, materials: DataFrame) -> DataFrame:
@@ -98,12 +101,30 @@ def run_cycle(
     and site or less.
     """
     analysis = save(analysis_of(tables, as_of=as_of, site_mode=site_mode, spine=spine), contracts.ANALYSIS)
-    profile = save(profile_of(analysis), PROFILE)
+    profile = save(profile_of(analysis, site_mode=site_mode), PROFILE)
     stockouts = save(stockouts_of(profile, tables.materials), contracts.STOCKOUTS)
     report = save(reporting_table(stockouts, supply_coverage(profile)), contracts.REPORT)
     return Cycle(tables, as_of, analysis, profile, stockouts, report)
 
 
+def refresh(
+    tables: PlanningTables,
+    as_of: dt.date,
+    save: Save,
+    *,
+    site_mode: str = "single",
+    spine: str = "forecast",
+    history_months: int = 24,
+) -> Cycle:
+    """A whole planning cycle, stored: checks, cleaned demand history, the cycle's tables and all results."""
+    save(quality_summary(tables, history_months=history_months), QUALITY)
+    save(dedupe_exact(tables.actuals), contracts.DEMAND_ACTUALS_CLEAN)
+    cycle = run_cycle(tables, as_of, save, site_mode=site_mode, spine=spine)
+    for name, result in cycle.results().items():
+        save(result, name)
+    return cycle
+
+
 def cycle_store(root: str, cycle: dt.date) -> Save:
     """Store below ``root``, partitioned by cycle date."""
 

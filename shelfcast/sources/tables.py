@@ -82,7 +82,7 @@ def replace_table(df: DataFrame, name: str, *, buckets: int = 0, bucket_by: str
     if buckets:
         writer = df.repartition(buckets, bucket_by).write.bucketBy(buckets, bucket_by).sortBy(bucket_by)
     else:
-        writer = df.hint("rebalance").write
+        writer = df.write
     writer.mode("overwrite").saveAsTable(name)
     return df.sparkSession.table(name)
 
@@ -90,17 +90,11 @@ def replace_table(df: DataFrame, name: str, *, buckets: int = 0, bucket_by: str
 def write_cycle(df: DataFrame, root: str, name: str, cycle: dt.date) -> DataFrame:
     """Write one planning cycle of a table below ``root`` and read that cycle back.
 
-    Only the partition of this cycle is replaced, so a rerun is idempotent and history stays. The table is the
-    hand-off between stages: a lost executor costs the stage that ran on it, not the ones before.
+    The partition of this cycle is addressed by its folder: a rerun replaces it, also by an empty result (which a
+    dynamic partition overwrite would leave standing), and other cycles stay. The table is the hand-off between
+    stages: a lost executor costs the stage that ran on it, not the ones before.
     """
-    (
-        df.hint("rebalance")
-        .withColumn("Cycle_Date", F.lit(cycle))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("Cycle_Date")
-        .parquet(f"{root}/{name}")
-    )
+    df.drop("Cycle_Date").write.mode("overwrite").parquet(f"{root}/{name}/Cycle_Date={cycle:%Y-%m-%d}")
     return read_cycle(df.sparkSession, root, name, cycle)
 
 
@@ -135,5 +129,5 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     are computed once.
     """
     path = f"{stage_root(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.hint("rebalance").write.parquet(path)
+    df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

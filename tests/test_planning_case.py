@@ -211,6 +211,11 @@ def test_supply_coverage(coverage):
     assert got == {"D": (90, 30, 5, 5, 45), "F": (7, 0, 0, 0, 7), "H": (5, 0, 0, 0, 5)}
 
 
+def test_supply_coverage_of_a_stored_stockout_list(profile, final):
+    listed = final.filter("Material_ID <> 'D'")
+    assert by_material(scenarios.supply_coverage(profile, listed), "Remaining_Shortfall_Units") == {"F": (7,), "H": (5,)}
+
+
 def test_pareto(coverage):
     pareto = drivers.shortfall_pareto(coverage)
     assert by_material(pareto, "Shortfall_Share_Pct", "Cumulative_Shortfall_Units", "Cumulative_Shortfall_Pct") == {
@@ -267,6 +272,12 @@ def test_by_site(two_sites):
     assert got == {("S1", M1): (-5,), ("S1", M2): (-20,), ("S2", M1): (5,), ("S2", M2): (-10,)}
 
 
+def test_by_site_keeps_materials_without_stock(spark):
+    case = tables(spark)
+    got = cycle.analysis_of(case, site_mode="by_site")
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, cycle.analysis_of(case).collect()), key=repr)
+
+
 def test_pooled(two_sites):
     got = keyed(
         cycle.analysis_of(two_sites, site_mode="pooled"), "Projected_Inventory", "Safety_Stock_Units", key=("Site_ID", "Month")
@@ -281,7 +292,7 @@ def test_a_material_is_critical_at_all_its_sites_if_it_is_at_one(spark):
         supply=[("S1", "G", "S1", M1, 8, "At Risk", "x")],
         inventory=[(AS_OF, "G", "S1", 0, 0, 0, 0), (AS_OF, "G", "S2", 10, 0, 10, 0)],
     )
-    profile = cycle.profile_of(cycle.analysis_of(case, site_mode="by_site"))
+    profile = cycle.profile_of(cycle.analysis_of(case, site_mode="by_site"), site_mode="by_site")
     got = keyed(scenarios.prioritise(profile), "Worst_Projected_Inventory", "Stockout_Status", key=("Site_ID",))
     assert got == {("S1",): (-15, "Critical Stockout"), ("S2",): (-5, "Critical Stockout")}
     remaining = keyed(scenarios.supply_coverage(profile), "Remaining_Shortfall_Units", key=("Site_ID",))

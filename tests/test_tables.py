@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from planning_case import AS_OF, rows, tables
 from shelfcast.operators import drivers, quality
-from shelfcast.plans import cycle
+from shelfcast.operators.scenarios import supply_coverage
+from shelfcast.plans import cycle, job
 from shelfcast.session import shuffle_partitions
 from shelfcast.sources import contracts
 from shelfcast.sources.tables import (
@@ -63,8 +64,6 @@ def test_outputs_keep_their_contracts(spark):
     analysis = cycle.analysis_of(t)
     profile = cycle.profile_of(analysis)
     final = cycle.stockouts_of(profile, t.materials)
-    from shelfcast.operators.scenarios import supply_coverage
-
     report = drivers.reporting_table(final, supply_coverage(profile))
     for df, name in [(analysis, contracts.ANALYSIS), (final, contracts.STOCKOUTS), (report, contracts.REPORT)]:
         assert contracts.schema_problems(df, name) == []
@@ -121,6 +120,34 @@ def test_cycles_are_kept_apart_and_reruns_replace(spark, tmp_path):
     }
 
 
+def test_job_refreshes_everything_from_files(spark, stored, tmp_path):
+    out = str(tmp_path / "cycles")
+    job.run(spark, job.arguments(["--as-of", str(AS_OF), "--inputs", stored, "--out", out]))
+    names = {path.name for path in (tmp_path / "cycles").iterdir()}
+    assert names == {
+        "quality_summary",
+        "demand_actuals_clean",
+        "stockout_risk_analysis",
+        "stockout_risk_profile",
+        "stockout_risk_powerbi",
+        "stockout_risk_powerbi_final",
+        "stockout_timing",
+        "scenario_counts",
+        "status_counts",
+        "lead_time_exposure",
+        "critical_rate_by_lead_time",
+        "demand_signal_gap",
+        "forecast_change_by_group",
+        "shortfall_pareto",
+        "pareto_priority",
+        "report_qa",
+        "kpi_summary",
+        "plant_exposure",
+        "recovery_timing",
+    }
+    assert read_cycle(spark, out, "kpi_summary", AS_OF).first().Critical_Gap_Units == 57
+
+
 def test_an_empty_plan(spark):
     """No input rows at all: every result exists, and the counts are zero."""
     t = tables(spark, materials=[], customers=[], forecast=[], inventory=[], supply=[])
@@ -145,6 +172,13 @@ def test_write_cycle_returns_the_stored_rows(spark, tmp_path):
     assert {(r.id, r.Cycle_Date) for r in df.collect()} == {(i, AS_OF) for i in range(3)}
 
 
+def test_a_rerun_without_rows_empties_its_cycle(spark, tmp_path):
+    write_cycle(spark.range(3), str(tmp_path), "numbers", AS_OF)
+    write_cycle(spark.range(5), str(tmp_path), "numbers", dt.date(2026, 9, 30))
+    assert write_cycle(spark.range(0), str(tmp_path), "numbers", AS_OF).count() == 0
+    assert read_cycle(spark, str(tmp_path), "numbers").count() == 5
+
+
 def test_shuffle_partitions_follow_the_volume():
     assert shuffle_partitions(0, 8) == 8
     assert shuffle_partitions(10 * 1024**4, 8) == 81920
