@@ -66,9 +66,7 @@ def _on_report(build: Callable[[PlanningTables, DataFrame], DataFrame]) -> Query
 
 
 def _pareto(t: PlanningTables) -> DataFrame:
-    # Read several times by the distributed running total.
-    coverage = scenarios.supply_coverage(cycle.profile_of(cycle.analysis_of(t)))
-    return drivers.shortfall_pareto(materialise(coverage, "coverage"))
+    return drivers.shortfall_pareto(scenarios.supply_coverage(cycle.profile_of(cycle.analysis_of(t))))
 
 
 def _month_coverage(t: PlanningTables) -> DataFrame:

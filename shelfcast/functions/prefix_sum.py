@@ -4,46 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 1024
-SAMPLES_PER_BUCKET = 16
-
-
-def _sort_key(value: str, tie_break: Sequence[str]) -> Column:
-    """A struct that sorts like ``value DESC NULLS LAST, tie_break ASC NULLS FIRST``."""
-    return F.struct(
-        F.col(value).isNull().alias("missing"),
-        (-F.col(value)).alias("descending"),
-        *[F.col(name) for name in tie_break],
-    )
-
-
-def _bucket_bounds(df: DataFrame, key: Column, key_columns: Sequence[str], buckets: int) -> DataFrame:
-    """One row with an ascending array of at most about ``buckets`` sort keys that cut ``df`` into even pieces.
-
-    The keys come from a sample of about ``buckets * SAMPLES_PER_BUCKET`` rows. Membership depends on a hash of the
-    row alone, so a recomputed or repeated scan finds the same bounds. The sample steers only how even the buckets
-    are, never the result.
-    """
-    size = buckets * SAMPLES_PER_BUCKET
-    thinning = df.agg(F.greatest(F.lit(1), F.floor(F.count("*") / size)).alias("n")).scalar()
-    sample = df.filter(F.pmod(F.xxhash64(*key_columns), thinning) == 0)
-    keys = F.sort_array(F.collect_list(key))
-    step = F.greatest(F.lit(1), F.ceil(F.size("keys") / buckets))
-    return sample.agg(keys.alias("keys")).select(F.filter("keys", lambda _, i: (i > 0) & (i % step == 0)).alias("bounds"))
-
-
-def _count_below(bounds: Column, key: Column, longest: int) -> Column:
-    """How many of the ascending ``bounds`` lie below ``key``, by bisection."""
-    steps = F.array(*[F.lit(1 << power) for power in reversed(range(longest.bit_length()))])
-    return F.aggregate(
-        steps,
-        F.lit(0),
-        lambda found, step: found
-        + F.when((found + step <= F.size(bounds)) & (F.get(bounds, found + step - 1) < key), step).otherwise(0),
-    )
+from shelfcast.sources.tables import materialise
 
 
 def running_total(
@@ -53,43 +17,39 @@ def running_total(
     *,
     running: str,
     total: str,
-    buckets: int = BUCKETS,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Add the running total of ``value`` over all rows, largest first, and the grand total.
 
-    ``tie_break`` orders equal values and has to make rows distinct; the result is then deterministic. An ordinary
-    unpartitioned window sorts every row in one task. Here rows are cut into buckets of nearly equal row count
-    along the full sort key (so even one value shared by most rows is spread), each bucket is summed on its own
-    and shifted by the total of the buckets before it. Only the bucket totals, at most ``2 * buckets`` rows, meet
-    in one task and are broadcast.
+    Equal values are ordered by ``tie_break``, which has to tell all rows apart; missing values come last and count
+    as zero.
+
+    An unpartitioned window would sort every row in one task. Here a range partitioning along the full sort key cuts
+    the rows into contiguous buckets of similar size; a value shared by most rows is cut as well, along the tie-break
+    columns. Each bucket is summed on its own and shifted by the total of the buckets before it. Only the bucket
+    totals meet in one task and are broadcast: one row per bucket, and there are ``buckets`` at most (default: the
+    session's shuffle partitions, where AQE merges small ones).
 
-    ``df`` is read several times: hand in a stored table (`materialise`) when it is costly to compute.
+    The bucketed rows are stored once, because the cut points come from a sample and a second evaluation could cut
+    elsewhere. ``df`` itself is evaluated here and now.
     """
-    key_columns = [value, *tie_break]
-    key = _sort_key(value, tie_break)
-    bounds = _bucket_bounds(df, key, key_columns, buckets)
-    bucketed = (
-        df.withColumn("_bounds", bounds.scalar())
-        .withColumn("_key", key)
-        .withColumn("_bucket", _count_below(F.col("_bounds"), F.col("_key"), 2 * buckets))
-        .drop("_bounds")
-    )
+    order = [F.desc_nulls_last(value), *[F.asc_nulls_first(name) for name in tie_break]]
+    ranged = df.repartitionByRange(*order) if buckets is None else df.repartitionByRange(buckets, *order)
+    bucketed = materialise(ranged.withColumn("_bucket", F.spark_partition_id()), "running_total")
 
     through_here = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    own = F.coalesce("_own", F.lit(0))
     offsets = (
         bucketed.groupBy("_bucket")
         .agg(F.sum(value).alias("_own"))
-        .select(
-            "_bucket",
-            (F.coalesce(F.sum("_own").over(through_here), F.lit(0)) - F.coalesce("_own", F.lit(0))).alias("_before"),
-            F.sum("_own").over(everything).alias(total),
-        )
+        .select("_bucket", (F.sum(own).over(through_here) - own).alias("_before"), F.sum(own).over(everything).alias(total))
     )
 
-    inside = Window.partitionBy("_bucket").orderBy("_key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = Window.partitionBy("_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
-        bucketed.join(F.broadcast(offsets), "_bucket")
-        .withColumn(running, F.col("_before") + F.coalesce(F.sum(value).over(inside), F.lit(0)))
-        .drop("_bucket", "_key", "_before")
+        bucketed.withColumn(running, F.coalesce(F.sum(value).over(inside), F.lit(0)))
+        .join(F.broadcast(offsets), "_bucket")
+        .withColumn(running, F.col(running) + F.col("_before"))
+        .drop("_bucket", "_before")
     )

@@ -36,6 +36,7 @@ from shelfcast.sources import contracts
 from shelfcast.sources.tables import PlanningTables, write_cycle
 
 PROFILE = "stockout_risk_profile"
+PARETO = "shortfall_pareto"
 QUALITY = "quality_summary"
 
 Save = Callable[[DataFrame, str], DataFrame]
@@ -65,10 +66,10 @@ class Cycle:
     profile: DataFrame
     stockouts: DataFrame
     report: DataFrame
+    pareto: DataFrame
 
     def results(self) -> dict[str, DataFrame]:
         """Driver and dashboard results, not computed until used."""
-        pareto = shortfall_pareto(supply_coverage(self.profile))
         return {
             "stockout_timing": stockout_timing(first_stockout(self.analysis)),
             "scenario_counts": scenario_counts(scenario_projection(self.analysis)),
@@ -77,8 +78,7 @@ class Cycle:
             "critical_rate_by_lead_time": critical_rate_by_lead_time(self.tables.materials, self.stockouts),
             "demand_signal_gap": demand_signal_gap(self.tables.forecast, self.stockouts),
             "forecast_change_by_group": forecast_change_by_group(self.tables.forecast, self.stockouts),
-            "shortfall_pareto": pareto,
-            "pareto_priority": pareto_priority(pareto),
+            "pareto_priority": pareto_priority(self.pareto),
             "report_qa": report_qa(self.report),
             "kpi_summary": kpi_summary(self.tables.materials, self.report),
             "plant_exposure": plant_exposure(self.report),
@@ -103,8 +103,10 @@ def run_cycle(
     analysis = save(analysis_of(tables, as_of=as_of, site_mode=site_mode, spine=spine), contracts.ANALYSIS)
     profile = save(profile_of(analysis, site_mode=site_mode), PROFILE)
     stockouts = save(stockouts_of(profile, tables.materials), contracts.STOCKOUTS)
-    report = save(reporting_table(stockouts, supply_coverage(profile)), contracts.REPORT)
-    return Cycle(tables, as_of, analysis, profile, stockouts, report)
+    coverage = supply_coverage(profile)
+    report = save(reporting_table(stockouts, coverage), contracts.REPORT)
+    pareto = save(shortfall_pareto(coverage), PARETO)
+    return Cycle(tables, as_of, analysis, profile, stockouts, report, pareto)
 
 
 def refresh(

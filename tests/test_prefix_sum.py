@@ -9,8 +9,10 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from shelfcast.functions import prefix_sum
 from shelfcast.functions.prefix_sum import running_total
 from shelfcast.operators.drivers import pareto_priority, shortfall_pareto
+from shelfcast.sources.tables import materialise
 
 SCHEMA = "Material_ID string, Site_ID string, units bigint"
 
@@ -40,7 +42,7 @@ CASES = {
 
 
 @pytest.mark.parametrize("rows", CASES.values(), ids=CASES.keys())
-@pytest.mark.parametrize("buckets", [1, 7, 64])
+@pytest.mark.parametrize("buckets", [None, 1, 7, 64])
 def test_equals_sequential_sum(spark, rows, buckets):
     got, totals = actual(spark, rows, buckets)
     assert got == expected(rows)
@@ -62,28 +64,37 @@ def test_any_values(spark, units, buckets):
     assert got == expected(rows)
 
 
-def test_a_value_shared_by_most_rows_is_spread_over_buckets(spark):
+def test_a_value_shared_by_most_rows_is_spread_over_buckets(spark, monkeypatch):
     """Half of the rows are equal; still no bucket holds much more than its share of the rows."""
-    from shelfcast.functions import prefix_sum
+    stored = []
 
+    def keep(df, name):
+        stored.append(materialise(df, name))
+        return stored[-1]
+
+    monkeypatch.setattr(prefix_sum, "materialise", keep)
     n, buckets = 20_000, 16
-    df = spark.range(n).select(
+    df = spark.range(n, numPartitions=8).select(
         F.format_string("M%06d", "id").alias("Material_ID"),
         F.lit("S").alias("Site_ID"),
         F.when(F.col("id") % 2 == 0, 5).otherwise(F.col("id")).alias("units"),
     )
-    columns = ["units", "Material_ID", "Site_ID"]
-    key = prefix_sum._sort_key("units", columns[1:])
-    bounds = prefix_sum._bucket_bounds(df, key, columns, buckets)
-    sizes = (
-        df.withColumn("b", bounds.scalar())
-        .groupBy(prefix_sum._count_below(F.col("b"), key, 2 * buckets).alias("bucket"))
-        .count()
-        .collect()
-    )
-    assert sum(row["count"] for row in sizes) == n
-    assert buckets <= len(sizes) <= 2 * buckets
-    assert max(row["count"] for row in sizes) < 4 * n / buckets
+    running_total(df, "units", ["Material_ID", "Site_ID"], running="running", total="total", buckets=buckets)
+    sizes = [row["count"] for row in stored[0].groupBy("_bucket").count().collect()]
+    assert sum(sizes) == n
+    assert len(sizes) == buckets
+    assert max(sizes) < 2 * n / buckets
+
+
+def test_no_task_sees_all_rows(spark):
+    """The only unpartitioned window works on bucket totals, and nothing is joined without a key."""
+    df = spark.createDataFrame(CASES["distinct"], SCHEMA)
+    result = running_total(df, "units", ["Material_ID", "Site_ID"], running="running", total="total", buckets=8)
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    below_single = plan.split("Exchange SinglePartition")[1:]
+    assert len(below_single) == 1
+    assert "HashAggregate(keys=[_bucket" in below_single[0].splitlines()[1]
 
 
 def test_zero_total_gives_unknown_shares(spark):
