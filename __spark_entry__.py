@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import sys
+import uuid
 from collections.abc import Callable
 from pathlib import Path
 
@@ -15,7 +16,7 @@ import oracle  # noqa: E402
 from shelfcast.operators import dashboard, drivers, projection, quality, scenarios  # noqa: E402
 from shelfcast.plans import cycle, validation  # noqa: E402
 from shelfcast.sources import starschema  # noqa: E402
-from shelfcast.sources.tables import PlanningTables, materialise, stage_root, write_cycle  # noqa: E402
+from shelfcast.sources.tables import PlanningTables, materialise, stage_root  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -91,11 +92,10 @@ def _with_multi_site(site_mode: str) -> Query:
 
 
 def _cycle_report(spark: SparkSession, root: str) -> DataFrame:
-    """Store a cycle twice, as a rerun would, and read its report back."""
-    store = f"{stage_root(spark)}/cycles-{dt.datetime.now():%Y%m%d%H%M%S%f}"
+    """Store a whole cycle, every stage in its own table, and read the report back."""
+    store = f"{stage_root(spark)}/cycles-{uuid.uuid4().hex}"
     t = starschema.planning_tables(spark, root, CALENDAR)
-    report = cycle.run_cycle(t, CALENDAR.as_of, cycle.cycle_store(store, CALENDAR.as_of)).report
-    return write_cycle(report, store, "published", CALENDAR.as_of)
+    return cycle.run_cycle(t, CALENDAR.as_of, cycle.cycle_store(store, CALENDAR.as_of)).report
 
 
 def queries() -> dict[str, Query]:
@@ -118,6 +118,9 @@ def queries() -> dict[str, Query]:
         "q_rule_counts": _on_actuals(lambda df: quality.rule_counts(df, validation.CHECKS["actuals"].rules)),
         "q_orphans_material": _on_tables(lambda t: validation.orphan_rows(t, "Material_ID")),
         "q_orphans_customer": _on_tables(lambda t: validation.orphan_rows(t, "Customer_ID")),
+        "q_orphan_rows_large_master": _on_tables(
+            lambda t: quality.orphans(t.actuals, t.customers, "Customer_ID", large_master=True)
+        ),
         "q_orphan_keys": _on_tables(lambda t: quality.orphan_keys(t.actuals, t.materials, "Material_ID")),
         "q_month_coverage": _on_tables(_month_coverage),
         "q_distinct_months": _on_actuals(lambda df: quality.distinct_values(df, "Demand_Month")),

@@ -295,6 +295,8 @@ _SOURCE_STATEMENTS = {
   WHERE Actual_Demand_Units < 0""",
     "q_orphans_material": _MATERIAL_ORPHANS,
     "q_orphans_customer": _CUSTOMER_ORPHANS,
+    "q_orphan_rows_large_master": """SELECT * FROM actuals a
+  WHERE NOT EXISTS (SELECT 1 FROM customer_master c WHERE c.Customer_ID = a.Customer_ID)""",
     "q_orphan_keys": """SELECT Material_ID, count(*) AS Row_Count FROM actuals
   WHERE Material_ID NOT IN (SELECT Material_ID FROM material_master) GROUP BY Material_ID""",
     "q_month_coverage": """SELECT 'demand_actuals_raw' AS Table_Name, count(DISTINCT Demand_Month) AS Distinct_Months,

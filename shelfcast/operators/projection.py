@@ -96,9 +96,8 @@ def _one_stock_row(inventory: DataFrame, keys: list[str]) -> DataFrame:
     return (
         inventory.filter(F.col("Material_ID").isNotNull())
         .groupBy(*keys)
-        .agg(F.count("*").alias("n"), F.max(F.struct(*fields)).alias("stock"))
-        .withColumn("stock", F.when(F.col("n") == 1, F.col("stock")).otherwise(F.raise_error(problem)))
-        .select(*keys, *[F.col(f"stock.{c}").alias(c) for c in fields])
+        .agg(F.count("*").alias("n"), *[F.max(c).alias(c) for c in fields])
+        .select(*keys, *[F.when(F.col("n") == 1, F.col(c)).otherwise(F.raise_error(problem)).alias(c) for c in fields])
     )
 
 

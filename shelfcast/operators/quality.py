@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.functions.columns import all_of, any_of, equals_all
+from shelfcast.sources.tables import materialise
 
 
 # --- volume and keys ---------------------------------------------------------------------------------------------
@@ -75,10 +76,19 @@ def duplicate_groups(df: DataFrame, keys: Sequence[str], value: str | None = Non
     )
 
 
+def _rows_with_keys(df: DataFrame, found: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose key is among ``found``; NULL keys compare as equal.
+
+    The found keys are stored first. Spark then knows their size: a short list is broadcast and the rows stay where
+    they are, a long one is joined by key, where AQE splits a hot key.
+    """
+    stored = materialise(found.select(*[F.col(k).alias(f"_{k}") for k in keys]), "found_keys")
+    return df.join(stored, all_of(F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys), "left_semi")
+
+
 def duplicate_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """All rows whose key repeats, to inspect the copies side by side. NULL keys compare as equal."""
-    repeated = duplicate_groups(df, keys).select(*[F.col(k).alias(f"_{k}") for k in keys])
-    return df.join(repeated, all_of(F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys), "left_semi")
+    """All rows whose key repeats, to inspect the copies side by side."""
+    return _rows_with_keys(df, duplicate_groups(df, keys), keys)
 
 
 def rows_matching(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
@@ -158,11 +168,15 @@ def _unpivot(df: DataFrame, counts: Sequence[tuple[str, Column]]) -> DataFrame:
 # --- references between tables -----------------------------------------------------------------------------------
 
 
-def orphans(fact: DataFrame, master: DataFrame, key: str) -> DataFrame:
+def orphans(fact: DataFrame, master: DataFrame, key: str, *, large_master: bool = False) -> DataFrame:
     """Fact rows whose key the master lacks; a NULL key is an orphan.
 
-    Spark broadcasts the master's keys when their size allows it; otherwise AQE splits a hot fact key.
+    Spark broadcasts the master's keys when their size allows it, and the facts are not shuffled. For a master
+    beyond that, ``large_master`` compares distinct keys first and then picks the rows of the (usually few) orphan
+    keys, instead of shuffling all fact rows.
     """
+    if large_master:
+        return _rows_with_keys(fact, orphan_keys(fact, master, key), [key])
     return fact.join(master.select(key), key, "left_anti")
 
 
