@@ -18,6 +18,19 @@ from shelfcast.plans import cycle, validation  # noqa: E402
 from shelfcast.sources import starschema  # noqa: E402
 from shelfcast.sources.tables import PlanningTables, materialise, stage_root  # noqa: E402
 
+try:
+    import corpus_pipeline
+    from shelfcast.llm import queries as text_queries
+except ImportError:  # the text operators may be absent
+    if (Path(__file__).resolve().parent / "shelfcast" / "llm" / "__init__.py").exists():
+        raise
+    TEXT_QUERIES, TEXT_ORACLES = {}, {}
+else:
+    TEXT_QUERIES = {**text_queries.QUERIES, "pipeline": corpus_pipeline.run}
+    TEXT_ORACLES = {**text_queries.ORACLES}
+    if corpus_pipeline.ORACLE_SQL is not None:
+        TEXT_ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 CALENDAR = starschema.DEFAULT_CALENDAR
@@ -174,11 +187,12 @@ def queries() -> dict[str, Query]:
         "q_plant_exposure": _on_report(lambda t, report: dashboard.plant_exposure(materialise(report, "report"))),
         "q_recovery_timing": _on_report(lambda t, report: dashboard.recovery_timing(report, CALENDAR.as_of)),
         "q_cycle_report": _cycle_report,
+        **TEXT_QUERIES,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.statements()
+    return {**oracle.statements(), **TEXT_ORACLES}
 
 
 def entry(spark: SparkSession) -> DataFrame:

@@ -9,8 +9,8 @@ import pytest
 
 import __spark_entry__ as entry_module
 
-QUERIES = entry_module.queries()
-ORACLES = entry_module.oracle_sql()
+QUERIES = {name: query for name, query in entry_module.queries().items() if name.startswith("q_")}
+ORACLES = {name: sql for name, sql in entry_module.oracle_sql().items() if name.startswith("q_")}
 
 
 @pytest.fixture(scope="module")
