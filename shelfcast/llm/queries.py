@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from shelfcast.llm import mixing, repetition
+from shelfcast.llm import mixing, repetition, simhash
 
 QUERIES = {
     "op1_poisson_mixing": mixing.op1_mix,
     "op2_suffix_repetition": repetition.op2_repetition,
+    "op4_simhash_vptree": simhash.op4_simhash,
 }
 
 ORACLES = {
