@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from shelfcast.llm import mixing, repeats, repetition, simhash
+from shelfcast.llm import mixing, pages, repeats, repetition, simhash
 
 QUERIES = {
     "op1_poisson_mixing": mixing.op1_mix,
     "op2_suffix_repetition": repetition.op2_repetition,
     "op4_simhash_vptree": simhash.op4_simhash,
+    "op5_html_density": pages.op5_html,
     "op10_column_repeats": repeats.op10_repeats,
 }
 
