@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from shelfcast.llm import mixing, pages, repeats, repetition, simhash
+from shelfcast.llm import mixing, pages, pii, repeats, repetition, simhash
 
 QUERIES = {
     "op1_poisson_mixing": mixing.op1_mix,
     "op2_suffix_repetition": repetition.op2_repetition,
     "op4_simhash_vptree": simhash.op4_simhash,
     "op5_html_density": pages.op5_html,
+    "op7_pii_boosting": pii.op7_pii,
     "op10_column_repeats": repeats.op10_repeats,
 }
 
