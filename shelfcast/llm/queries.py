@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from shelfcast.llm import mixing, pages, pii, repeats, repetition, simhash
+from shelfcast.llm import licences, mixing, pages, pii, repeats, repetition, simhash
 
 QUERIES = {
     "op1_poisson_mixing": mixing.op1_mix,
@@ -10,10 +10,12 @@ QUERIES = {
     "op4_simhash_vptree": simhash.op4_simhash,
     "op5_html_density": pages.op5_html,
     "op7_pii_boosting": pii.op7_pii,
+    "op8_licence_sentences": licences.op8_licences,
     "op10_column_repeats": repeats.op10_repeats,
 }
 
 ORACLES = {
     "op1_poisson_mixing": mixing.OP1_SQL,
     "op2_suffix_repetition": repetition.OP2_SQL,
+    "op8_licence_sentences": licences.OP8_SQL,
 }
