@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from shelfcast.llm import licences, mixing, pages, pii, repeats, repetition, simhash
+from shelfcast.llm import licences, mixing, pages, pii, quality, repeats, repetition, simhash
 
 QUERIES = {
     "op1_poisson_mixing": mixing.op1_mix,
@@ -11,6 +11,7 @@ QUERIES = {
     "op5_html_density": pages.op5_html,
     "op7_pii_boosting": pii.op7_pii,
     "op8_licence_sentences": licences.op8_licences,
+    "op9_subword_quality": quality.op9_quality,
     "op10_column_repeats": repeats.op10_repeats,
 }
 
