@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from shelfcast.llm import licences, mixing, pages, pii, quality, repeats, repetition, simhash
+from shelfcast.llm import licences, mixing, packing, pages, pii, quality, repeats, repetition, simhash
 
 QUERIES = {
     "op1_poisson_mixing": mixing.op1_mix,
     "op2_suffix_repetition": repetition.op2_repetition,
+    "op3_bestfit_packing": packing.op3_packing,
     "op4_simhash_vptree": simhash.op4_simhash,
     "op5_html_density": pages.op5_html,
     "op7_pii_boosting": pii.op7_pii,
