@@ -91,18 +91,19 @@ def mix(
     The shuffle sends each copy to a partition by its random key, so no source and no group of copies can gather in
     one; only one row per source is joined to the documents.
     """
-    own = {"copy", "mix_key", "_source", "_rate", "_mass", "_uniform", "_copies"}
+    own = {"copy", "mix_key", "_source", "_rate", "_mass", "_copies"}
     docs = docs.drop(*own & set(docs.columns))
     columns = docs.columns
     # Stored, so that Spark knows its size: a few sources are broadcast, very many are joined by key.
     rates = staged(source_rates(docs, weights, exponent=exponent, volume=volume), "rates")
     joined = docs.join(rates, F.col("source").eqNullSafe(F.col("_source")), "left")
-    # the last mass may round to just below 1: a number beyond it gets the last count
     draw = uniform(seed, F.col("doc_id"), F.md5(F.coalesce("text", F.lit(""))), F.col("source"))
-    counted = joined.withColumn("_uniform", draw).withColumn(
-        "_copies", F.size(F.filter("_mass", lambda p: (p <= F.col("_uniform")) & (p < 1.0)))
+    # Counted inside a lambda, so that the draw is computed once and not for every mass it is compared with; the last
+    # mass may round to just below 1, a draw beyond it gets the last count.
+    count = F.transform(
+        F.array(draw), lambda u: F.size(F.filter("_mass", lambda p: (p <= u) & (p < 1.0)))
     )
-    counted = counted.withColumn("_copies", F.when(F.col("_rate") > 0, F.col("_copies")).otherwise(0))
+    counted = joined.withColumn("_copies", F.when(F.col("_rate") > 0, F.element_at(count, 1)).otherwise(0))
     copies = counted.where("_copies > 0").select(
         *columns, F.explode(F.sequence(F.lit(0), F.col("_copies") - 1)).alias("copy")
     )
