@@ -171,12 +171,13 @@ def score(docs: DataFrame, model: Model, column: str = "text") -> DataFrame:
     Null and empty texts get the score of the bias alone. Only the text is read: equal texts get equal scores, no shuffle,
     an empty table gives no rows. The model is a table of ``BUCKETS`` numbers, whatever the corpus.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast((model.weight, model.bias))
 
     @arrow_udf("double")
     def scores(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        model = Model(*shared.value)
         for texts in batches:
-            yield pa.array([shared.value.score(t.as_py()) for t in texts], pa.float64())
+            yield pa.array([model.score(t.as_py()) for t in texts], pa.float64())
 
     return docs.withColumn("score", scores(F.col(column).cast("string")))
 
