@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from shelfcast.llm import licences, mixing, packing, pages, pii, quality, repeats, repetition, simhash
+from shelfcast.llm import decontamination, licences, mixing, packing, pages, pii, quality, repeats, repetition, simhash
 
 QUERIES = {
     "op1_poisson_mixing": mixing.op1_mix,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_bestfit_packing": packing.op3_packing,
     "op4_simhash_vptree": simhash.op4_simhash,
     "op5_html_density": pages.op5_html,
+    "op6_lsa_decontamination": decontamination.op6_decontamination,
     "op7_pii_boosting": pii.op7_pii,
     "op8_licence_sentences": licences.op8_licences,
     "op9_subword_quality": quality.op9_quality,
