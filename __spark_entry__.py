@@ -9,14 +9,16 @@ from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 import oracle  # noqa: E402
 from shelfcast.operators import dashboard, drivers, projection, quality, scenarios  # noqa: E402
 from shelfcast.plans import cycle, validation  # noqa: E402
-from shelfcast.sources import starschema  # noqa: E402
-from shelfcast.sources.tables import PlanningTables, materialise, stage_root  # noqa: E402
+from shelfcast.functions.prefix_sum import with_rank  # noqa: E402
+from shelfcast.sources import contracts, starschema  # noqa: E402
+from shelfcast.sources.tables import PlanningTables, create_table, replace_table, stage_root  # noqa: E402
 
 try:
     import corpus_pipeline
@@ -34,6 +36,7 @@ else:
 Query = Callable[[SparkSession, str], DataFrame]
 
 CALENDAR = starschema.DEFAULT_CALENDAR
+KEYS = ["Material_ID", "Site_ID"]
 ACTUALS_KEY = ["Demand_Month", "Customer_ID", "Material_ID"]
 
 
@@ -49,30 +52,28 @@ def _on_supply(build: Callable[[DataFrame], DataFrame]) -> Query:
     return _on_tables(lambda t: build(t.supply))
 
 
-def _on_analysis(build: Callable[[DataFrame], DataFrame]) -> Query:
-    return _on_tables(lambda t: build(cycle.analysis_of(t)))
+def _analysis(t: PlanningTables) -> DataFrame:
+    return cycle.analysis_of(t, as_of=CALENDAR.as_of, horizon_months=CALENDAR.horizon_months)
 
 
-def _on_scenarios(build: Callable[[DataFrame], DataFrame]) -> Query:
-    return _on_analysis(lambda analysis: build(scenarios.scenario_projection(analysis)))
+def _profile(t: PlanningTables) -> DataFrame:
+    return cycle.profile_of(_analysis(t))
 
 
-def _on_profile(build: Callable[[DataFrame], DataFrame]) -> Query:
-    return _on_analysis(lambda analysis: build(cycle.profile_of(analysis)))
+def _on_analysis(build: Callable[[DataFrame], DataFrame]) -> Query:
+    return _on_tables(lambda t: build(_analysis(t)))
 
 
-def _stockouts(t: PlanningTables) -> DataFrame:
-    return cycle.stockouts_of(cycle.profile_of(cycle.analysis_of(t)), t.materials)
+def _on_profile(build: Callable[[DataFrame], DataFrame]) -> Query:
+    return _on_tables(lambda t: build(_profile(t)))
 
 
 def _on_stockouts(build: Callable[[PlanningTables, DataFrame], DataFrame]) -> Query:
-    return _on_tables(lambda t: build(t, _stockouts(t)))
+    return _on_tables(lambda t: build(t, cycle.stockouts_of(_profile(t), t.materials)))
 
 
 def _report(t: PlanningTables) -> DataFrame:
-    # The profile feeds both sides of the join, so it is stored instead of computed from the raw tables twice.
-    profile = materialise(cycle.profile_of(cycle.analysis_of(t)), "profile")
-    return drivers.reporting_table(cycle.stockouts_of(profile, t.materials), scenarios.supply_coverage(profile))
+    return cycle.report_of(_profile(t), t.materials)
 
 
 def _on_report(build: Callable[[PlanningTables, DataFrame], DataFrame]) -> Query:
@@ -80,7 +81,13 @@ def _on_report(build: Callable[[PlanningTables, DataFrame], DataFrame]) -> Query
 
 
 def _pareto(t: PlanningTables) -> DataFrame:
-    return drivers.shortfall_pareto(scenarios.supply_coverage(cycle.profile_of(cycle.analysis_of(t))))
+    return drivers.shortfall_pareto(scenarios.supply_coverage(_profile(t)))
+
+
+def _safety_stock_counts(t: PlanningTables) -> DataFrame:
+    limit = F.col("Safety_Stock_Units")
+    analysis = cycle.analysis_of(t, as_of=CALENDAR.as_of, horizon_months=CALENDAR.horizon_months, threshold=limit)
+    return scenarios.scenario_counts(cycle.profile_of(analysis, threshold=limit))
 
 
 def _month_coverage(t: PlanningTables) -> DataFrame:
@@ -99,16 +106,70 @@ def _with_multi_site(site_mode: str) -> Query:
     def query(spark: SparkSession, root: str) -> DataFrame:
         t = starschema.planning_tables(spark, root, CALENDAR)
         stock = starschema.multi_site_inventory(spark, root, CALENDAR)
-        return projection.project_inventory(t.forecast, t.supply, stock, as_of=CALENDAR.as_of, site_mode=site_mode)
+        return projection.project_inventory(
+            t.forecast, t.supply, stock, as_of=CALENDAR.as_of, horizon_months=CALENDAR.horizon_months, site_mode=site_mode
+        )
 
     return query
 
 
-def _cycle_report(spark: SparkSession, root: str) -> DataFrame:
-    """Store a whole cycle, every stage in its own table, and read the report back."""
+def _kpi_by_site(spark: SparkSession, root: str) -> DataFrame:
+    t = starschema.planning_tables(spark, root, CALENDAR)
+    stock = starschema.multi_site_inventory(spark, root, CALENDAR)
+    analysis = projection.stockout_risk_analysis(
+        t.forecast, t.supply, stock, as_of=CALENDAR.as_of, horizon_months=CALENDAR.horizon_months, site_mode="by_site"
+    )
+    report = cycle.report_of(cycle.profile_of(analysis, site_mode="by_site"), t.materials)
+    return dashboard.kpi_summary(t.materials, report)
+
+
+def _stored_cycle(spark: SparkSession, root: str, run: Callable[..., cycle.Cycle], **options: int) -> cycle.Cycle:
+    """A planning cycle, every stage in a table of its own, read back."""
     store = f"{stage_root(spark)}/cycles-{uuid.uuid4().hex}"
     t = starschema.planning_tables(spark, root, CALENDAR)
-    return cycle.run_cycle(t, CALENDAR.as_of, cycle.cycle_store(store, CALENDAR.as_of)).report
+    save = cycle.cycle_store(store, CALENDAR.as_of)
+    return run(t, CALENDAR.as_of, save, horizon_months=CALENDAR.horizon_months, **options)
+
+
+def _cycle_report(spark: SparkSession, root: str) -> DataFrame:
+    return _stored_cycle(spark, root, cycle.run_cycle).report
+
+
+def _refresh_results(spark: SparkSession, root: str) -> DataFrame:
+    """All results of a refresh, from its stored tables: one row of text for each row."""
+    stored = _stored_cycle(spark, root, cycle.refresh, history_months=CALENDAR.history_months)
+
+    def as_text(df: DataFrame) -> DataFrame:
+        values = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in sorted(set(df.columns) - {"Cycle_Date"})]
+        return df.select(F.concat_ws("|", *values).alias("Row_Values"))
+
+    return quality.union_all(quality.label(as_text(df), Result=name) for name, df in stored.results().items())
+
+
+def _stored_rows(spark: SparkSession, root: str) -> DataFrame:
+    """Rows that catalog tables hold after each way of writing them."""
+    t = starschema.planning_tables(spark, root, CALENDAR)
+    run = uuid.uuid4().hex
+    analysis = replace_table(_analysis(t), f"analysis_{run}")
+    report = replace_table(cycle.report_of(cycle.profile_of(analysis), t.materials), f"report_{run}", buckets=8)
+    stored = {
+        "created": create_table(quality.dedupe_exact(t.actuals), f"clean_{run}"),
+        "replaced": replace_table(_analysis(t), f"analysis_{run}"),
+        "overwritten": replace_table(report.drop("Remaining_Shortfall_Units"), f"stockouts_{run}"),
+        "bucketed": report,
+    }
+    counts = [(sink, df.count()) for sink, df in stored.items()]
+    for name in ("analysis", "report", "clean", "stockouts"):
+        spark.sql(f"DROP TABLE {name}_{run}")
+    return spark.createDataFrame(counts, "Sink string, Stored_Rows bigint")
+
+
+def _schema_violations(t: PlanningTables) -> DataFrame:
+    """The supply table with two columns of another type and one missing."""
+    wrong = t.supply.withColumns(
+        {"Receipt_Month": F.col("Receipt_Month").cast("string"), "Planned_Supply_Units": F.col("Planned_Supply_Units").cast("int")}
+    ).drop("Supply_Status")
+    return contracts.schema_violations(wrong, contracts.PLANNED_SUPPLY)
 
 
 def queries() -> dict[str, Query]:
@@ -131,9 +192,7 @@ def queries() -> dict[str, Query]:
         "q_rule_counts": _on_actuals(lambda df: quality.rule_counts(df, validation.CHECKS["actuals"].rules)),
         "q_orphans_material": _on_tables(lambda t: validation.orphan_rows(t, "Material_ID")),
         "q_orphans_customer": _on_tables(lambda t: validation.orphan_rows(t, "Customer_ID")),
-        "q_orphan_rows_large_master": _on_tables(
-            lambda t: quality.orphans(t.actuals, t.customers, "Customer_ID", large_master=True)
-        ),
+        "q_orphan_rows": _on_tables(lambda t: quality.orphans(t.actuals, t.customers, "Customer_ID")),
         "q_orphan_keys": _on_tables(lambda t: quality.orphan_keys(t.actuals, t.materials, "Material_ID")),
         "q_month_coverage": _on_tables(_month_coverage),
         "q_distinct_months": _on_actuals(lambda df: quality.distinct_values(df, "Demand_Month")),
@@ -143,40 +202,61 @@ def queries() -> dict[str, Query]:
         "q_pair_count": _on_actuals(lambda df: quality.distinct_count(df, ["Customer_ID", "Material_ID"])),
         "q_status_distribution": _on_supply(quality.status_distribution),
         "q_multi_site": lambda spark, root: quality.multi_site_materials(starschema.multi_site_inventory(spark, root, CALENDAR)),
+        "q_rank_multi_site": lambda spark, root: with_rank(
+            quality.multi_site_materials(starschema.multi_site_inventory(spark, root, CALENDAR)), "Site_Count", ["Material_ID"]
+        ),
+        "q_schema_violations": _on_tables(_schema_violations),
         "q_quality_summary": _on_tables(lambda t: validation.quality_summary(t, history_months=CALENDAR.history_months)),
         # projection
         "q_forecast_by_month": _on_tables(lambda t: projection.forecast_by_month(t.forecast)),
         "q_supply_by_status": _on_supply(projection.supply_by_month),
         "q_balance": _on_tables(lambda t: projection.forecast_supply_balance(t.forecast, t.supply)),
         "q_balance_all_months": _on_tables(lambda t: projection.forecast_supply_balance(t.forecast, t.supply, spine="union")),
-        "q_project_inventory": _on_tables(lambda t: projection.project_inventory(t.forecast, t.supply, t.inventory)),
+        "q_unmatched_supply": _on_tables(lambda t: projection.unmatched_supply(t.forecast, t.supply)),
+        "q_project_inventory": _on_tables(
+            lambda t: projection.project_inventory(
+                t.forecast, t.supply, t.inventory, as_of=CALENDAR.as_of, horizon_months=CALENDAR.horizon_months
+            )
+        ),
         "q_project_pooled_sites": _with_multi_site("pooled"),
         "q_project_by_site": _with_multi_site("by_site"),
-        "q_stockout_analysis": _on_tables(cycle.analysis_of),
+        "q_stockout_analysis": _on_tables(_analysis),
         "q_stockout_material_count": _on_analysis(projection.stockout_material_count),
         "q_unknown_inventory": _on_analysis(projection.unknown_inventory),
         "q_first_stockout": _on_analysis(projection.first_stockout),
         "q_stockout_timing": _on_analysis(lambda df: projection.stockout_timing(projection.first_stockout(df))),
         # scenarios and priorities
         "q_scenario_projection": _on_analysis(scenarios.scenario_projection),
-        "q_scenario_counts": _on_scenarios(scenarios.scenario_counts),
-        "q_residual_risk": _on_scenarios(scenarios.residual_risk),
+        "q_scenario_counts": _on_profile(scenarios.scenario_counts),
+        "q_scenario_counts_safety_stock": _on_tables(_safety_stock_counts),
+        "q_residual_risk": _on_profile(scenarios.residual_risk),
+        "q_rank_residual_risk": _on_profile(
+            lambda df: with_rank(scenarios.residual_risk(df), "Lowest_Projected_Inventory", KEYS, ascending=True)
+        ),
         "q_prioritise": _on_profile(scenarios.prioritise),
         "q_severity": _on_profile(lambda df: scenarios.severity(scenarios.prioritise(df))),
-        "q_valued": _on_tables(_stockouts),
-        "q_top_exposure": _on_stockouts(
-            lambda t, final: scenarios.ranked(
-                final.select("Material_ID", "Site_ID", "Stockout_Status", "Stockout_Units", "Stockout_Value_USD"),
-                "Stockout_Value_USD",
-                top=50,
+        "q_rank_priorities": _on_profile(
+            lambda df: with_rank(scenarios.prioritise(df), "Worst_Projected_Inventory", KEYS, ascending=True)
+        ),
+        "q_valued": _on_stockouts(lambda t, final: final),
+        "q_stockout_null_profile": _on_stockouts(lambda t, final: quality.null_profile(final, contracts.STOCKOUT_REQUIRED)),
+        "q_rank_exposure": _on_stockouts(
+            lambda t, final: with_rank(
+                final.select(*KEYS, "Stockout_Status", "Stockout_Units", "Stockout_Value_USD"), "Stockout_Value_USD", KEYS
             )
         ),
         "q_status_counts": _on_stockouts(lambda t, final: scenarios.status_counts(final)),
         "q_supply_coverage": _on_profile(scenarios.supply_coverage),
+        "q_rank_supply_coverage": _on_profile(
+            lambda df: with_rank(scenarios.supply_coverage(df), "Remaining_Shortfall_Units", KEYS)
+        ),
         # drivers and reporting
         "q_lead_time_exposure": _on_stockouts(lambda t, final: drivers.lead_time_exposure(final)),
         "q_critical_rate": _on_stockouts(lambda t, final: drivers.critical_rate_by_lead_time(t.materials, final)),
         "q_demand_signal": _on_stockouts(lambda t, final: drivers.demand_signal_gap(t.forecast, final)),
+        "q_rank_demand_signal": _on_stockouts(
+            lambda t, final: with_rank(drivers.demand_signal_gap(t.forecast, final), "Customer_Demand_Gap", ["Material_ID"])
+        ),
         "q_forecast_change": _on_stockouts(lambda t, final: drivers.forecast_change_by_group(t.forecast, final)),
         "q_pareto": _on_tables(_pareto),
         "q_pareto_priority": _on_tables(lambda t: drivers.pareto_priority(_pareto(t))),
@@ -184,9 +264,12 @@ def queries() -> dict[str, Query]:
         "q_report_qa": _on_report(lambda t, report: drivers.report_qa(report)),
         # dashboard
         "q_kpi": _on_report(lambda t, report: dashboard.kpi_summary(t.materials, report)),
-        "q_plant_exposure": _on_report(lambda t, report: dashboard.plant_exposure(materialise(report, "report"))),
+        "q_plant_exposure": _on_report(lambda t, report: dashboard.plant_exposure(report)),
         "q_recovery_timing": _on_report(lambda t, report: dashboard.recovery_timing(report, CALENDAR.as_of)),
+        "q_kpi_by_site": _kpi_by_site,
         "q_cycle_report": _cycle_report,
+        "q_refresh_results": _refresh_results,
+        "q_stored_rows": _stored_rows,
         **TEXT_QUERIES,
     }
 

@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.functions.columns import all_of, any_of, equals_all
-from shelfcast.sources.tables import materialise
 
 
 # --- volume and keys ---------------------------------------------------------------------------------------------
@@ -66,11 +65,27 @@ def duplicate_groups(df: DataFrame, keys: Sequence[str], value: str | None = Non
     counted = F.count("*").alias("Row_Count")
     if value is None:
         return df.groupBy(*keys).agg(counted).filter(F.col("Row_Count") > 1)
-    one_value = (F.col(distinct_as) == 1) & (F.col("filled") == F.col("Row_Count"))
-    return (
+    # One pass with what is summed on the map side. Only keys with different values and more than two of them need their
+    # values counted, in a second pass over just their rows.
+    repeated = (
         df.groupBy(*keys)
-        .agg(counted, F.count_distinct(value).alias(distinct_as), F.count(value).alias("filled"))
+        .agg(counted, F.count(value).alias("filled"), F.min(value).alias("least"), F.max(value).alias("most"))
         .filter(F.col("Row_Count") > 1)
+        .withColumn("open", F.coalesce((F.col("least") != F.col("most")) & (F.col("filled") > 2), F.lit(False)))
+    )
+    settled = repeated.filter(~F.col("open")).withColumn(
+        distinct_as, F.when(F.col("filled") == 0, 0).when(F.col("least") == F.col("most"), 1).otherwise(2).cast("bigint")
+    )
+    conflicting = (
+        _rows_with_keys(df, repeated.filter("open"), keys)
+        .groupBy(*keys)
+        .agg(counted, F.count(value).alias("filled"), F.count_distinct(value).alias(distinct_as))
+    )
+    found = [*keys, "Row_Count", "filled", distinct_as]
+    one_value = (F.col(distinct_as) == 1) & (F.col("filled") == F.col("Row_Count"))
+    return (
+        settled.select(*found)
+        .unionByName(conflicting.select(*found))
         .withColumn("Duplicate_Class", F.when((F.col("filled") == 0) | one_value, "exact").otherwise("conflicting"))
         .drop("filled")
     )
@@ -79,11 +94,10 @@ def duplicate_groups(df: DataFrame, keys: Sequence[str], value: str | None = Non
 def _rows_with_keys(df: DataFrame, found: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose key is among ``found``; NULL keys compare as equal.
 
-    The found keys are stored first. Spark then knows their size: a short list is broadcast and the rows stay where
-    they are, a long one is joined by key, where AQE splits a hot key.
+    A semi-join: adaptive execution broadcasts a short list of keys, and splits a hot key of the rows otherwise.
     """
-    stored = materialise(found.select(*[F.col(k).alias(f"_{k}") for k in keys]), "found_keys")
-    return df.join(stored, all_of(F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys), "left_semi")
+    listed = found.select(*[F.col(k).alias(f"_{k}") for k in keys])
+    return df.join(listed, all_of(F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys), "left_semi")
 
 
 def duplicate_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -155,10 +169,10 @@ def range_violations(df: DataFrame, rules: Iterable[Rule]) -> DataFrame:
 
 def rule_counts(df: DataFrame, rules: Iterable[Rule]) -> DataFrame:
     """Violations per rule, zero included, from one scan."""
-    return _unpivot(df, [(rule.name, F.count_if(rule.violated)) for rule in rules])
+    return unpivot(df, [(rule.name, F.count_if(rule.violated)) for rule in rules])
 
 
-def _unpivot(df: DataFrame, counts: Sequence[tuple[str, Column]]) -> DataFrame:
+def unpivot(df: DataFrame, counts: Sequence[tuple[str, Column]]) -> DataFrame:
     """Aggregate ``df`` to named counts and return them as (Check_Name, Violations) rows."""
     as_row = df.agg(*[count.alias(f"c{i}") for i, (_, count) in enumerate(counts)])
     pairs = [F.struct(F.lit(name).alias("Check_Name"), F.col(f"c{i}").alias("Violations")) for i, (name, _) in enumerate(counts)]
@@ -168,21 +182,20 @@ def _unpivot(df: DataFrame, counts: Sequence[tuple[str, Column]]) -> DataFrame:
 # --- references between tables -----------------------------------------------------------------------------------
 
 
-def orphans(fact: DataFrame, master: DataFrame, key: str, *, large_master: bool = False) -> DataFrame:
+def orphans(fact: DataFrame, master: DataFrame, key: str) -> DataFrame:
     """Fact rows whose key the master lacks; a NULL key is an orphan.
 
-    Spark broadcasts the master's keys when their size allows it, and the facts are not shuffled. For a master
-    beyond that, ``large_master`` compares distinct keys first and then picks the rows of the (usually few) orphan
-    keys, instead of shuffling all fact rows.
+    Distinct keys meet the master, reduced on the map side first; the rows of the (usually few) orphan keys are then picked
+    by a semi-join. Rows without key, which may be many, need no join at all.
     """
-    if large_master:
-        return _rows_with_keys(fact, orphan_keys(fact, master, key), [key])
-    return fact.join(master.select(key), key, "left_anti")
+    named = fact.filter(F.col(key).isNotNull())
+    missing = named.select(key).distinct().join(master.select(key), key, "left_anti")
+    return _rows_with_keys(named, missing, [key]).unionByName(fact.filter(F.col(key).isNull()))
 
 
 def orphan_keys(fact: DataFrame, master: DataFrame, key: str) -> DataFrame:
     """Orphan keys with their row counts. Facts are reduced to one row per key before they meet the master."""
-    return orphans(fact.groupBy(key).agg(F.count("*").alias("Row_Count")), master, key)
+    return fact.groupBy(key).agg(F.count("*").alias("Row_Count")).join(master.select(key), key, "left_anti")
 
 
 # --- coverage ----------------------------------------------------------------------------------------------------
@@ -247,7 +260,7 @@ def check_table(df: DataFrame, checks: TableChecks) -> DataFrame:
         F.count("*").alias("n"), *[F.count_if(condition).alias(f"f{i}") for i, (_, condition) in enumerate(flags)]
     )
     zero = F.lit(0)
-    return _unpivot(
+    return unpivot(
         per_key,
         [
             ("Rows", F.coalesce(F.sum("n"), zero)),

@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 
 from shelfcast.operators.dashboard import kpi_summary, plant_exposure, recovery_timing
 from shelfcast.operators.drivers import (
@@ -16,11 +16,10 @@ from shelfcast.operators.drivers import (
     lead_time_exposure,
     pareto_priority,
     report_qa,
-    reporting_table,
     shortfall_pareto,
 )
 from shelfcast.operators.projection import first_stockout, stockout_risk_analysis, stockout_timing
-from shelfcast.operators.quality import dedupe_exact
+from shelfcast.operators.quality import dedupe_exact, null_profile
 from shelfcast.operators.scenarios import (
     enrich_and_value,
     prioritise,
@@ -33,7 +32,7 @@ from shelfcast.operators.scenarios import (
 )
 from shelfcast.plans.validation import quality_summary
 from shelfcast.sources import contracts
-from shelfcast.sources.tables import PlanningTables, write_cycle
+from shelfcast.sources.tables import PlanningTables, materialise, release, stored_so_far, write_cycle
 
 PROFILE = "stockout_risk_profile"
 PARETO = "shortfall_pareto"
@@ -42,18 +41,38 @@ QUALITY = "quality_summary"
 Save = Callable[[DataFrame, str], DataFrame]
 
 
-def analysis_of(tables: PlanningTables, *, as_of: dt.date | None = None, site_mode: str = "single", spine: str = "forecast") -> DataFrame:
+def analysis_of(
+    tables: PlanningTables,
+    *,
+    as_of: dt.date | None = None,
+    horizon_months: int | None = None,
+    site_mode: str = "single",
+    spine: str = "forecast",
+    threshold: Column | int = 0,
+) -> DataFrame:
     return stockout_risk_analysis(
-        tables.forecast, tables.supply, tables.inventory, as_of=as_of, site_mode=site_mode, spine=spine
+        tables.forecast,
+        tables.supply,
+        tables.inventory,
+        as_of=as_of,
+        horizon_months=horizon_months,
+        site_mode=site_mode,
+        spine=spine,
+        threshold=threshold,
     )
 
 
-def profile_of(analysis: DataFrame, *, site_mode: str = "single") -> DataFrame:
-    return risk_profile(scenario_projection(analysis), site_mode=site_mode)
+def profile_of(analysis: DataFrame, *, site_mode: str = "single", threshold: Column | int = 0) -> DataFrame:
+    return risk_profile(scenario_projection(analysis), site_mode=site_mode, threshold=threshold)
+
+
+def report_of(profile: DataFrame, materials: DataFrame) -> DataFrame:
+    """The reporting table: the valued stockout list with what remains short after all supply."""
+    return enrich_and_value(severity(prioritise(profile, shortages=True)), materials)
 
 
 def stockouts_of(profile: DataFrame, materials: DataFrame) -> DataFrame:
-    return enrich_and_value(severity(prioritise(profile)), materials)
+    return report_of(profile, materials).drop("Remaining_Shortfall_Units")
 
 
 @dataclass(frozen=True)
@@ -72,8 +91,9 @@ class Cycle:
         """Driver and dashboard results, not computed until used."""
         return {
             "stockout_timing": stockout_timing(first_stockout(self.analysis)),
-            "scenario_counts": scenario_counts(scenario_projection(self.analysis)),
+            "scenario_counts": scenario_counts(self.profile),
             "status_counts": status_counts(self.stockouts),
+            "stockout_null_profile": null_profile(self.stockouts, contracts.STOCKOUT_REQUIRED),
             "lead_time_exposure": lead_time_exposure(self.stockouts),
             "critical_rate_by_lead_time": critical_rate_by_lead_time(self.tables.materials, self.stockouts),
             "demand_signal_gap": demand_signal_gap(self.tables.forecast, self.stockouts),
@@ -91,8 +111,10 @@ def run_cycle(
     as_of: dt.date,
     save: Save,
     *,
+    horizon_months: int | None = None,
     site_mode: str = "single",
     spine: str = "forecast",
+    threshold: Column | int = 0,
 ) -> Cycle:
     """Compute and store the tables of one planning cycle.
 
@@ -100,12 +122,17 @@ def run_cycle(
     `materialise`. The raw tables are read once, for the analysis; what follows works on one row per material, month
     and site or less.
     """
-    analysis = save(analysis_of(tables, as_of=as_of, site_mode=site_mode, spine=spine), contracts.ANALYSIS)
-    profile = save(profile_of(analysis, site_mode=site_mode), PROFILE)
-    stockouts = save(stockouts_of(profile, tables.materials), contracts.STOCKOUTS)
-    coverage = supply_coverage(profile)
-    report = save(reporting_table(stockouts, coverage), contracts.REPORT)
-    pareto = save(shortfall_pareto(coverage), PARETO)
+    planned = analysis_of(
+        tables, as_of=as_of, horizon_months=horizon_months, site_mode=site_mode, spine=spine, threshold=threshold
+    )
+    analysis = save(planned, contracts.ANALYSIS)
+    profile = save(profile_of(analysis, site_mode=site_mode, threshold=threshold), PROFILE)
+    report = save(report_of(profile, tables.materials), contracts.REPORT)
+    stockouts = save(report.drop("Remaining_Shortfall_Units"), contracts.STOCKOUTS)
+    mark = stored_so_far()
+    pareto = save(shortfall_pareto(supply_coverage(profile)), PARETO)
+    if save is not materialise:
+        release(pareto.sparkSession, mark)
     return Cycle(tables, as_of, analysis, profile, stockouts, report, pareto)
 
 
@@ -114,14 +141,18 @@ def refresh(
     as_of: dt.date,
     save: Save,
     *,
+    horizon_months: int | None = None,
     site_mode: str = "single",
     spine: str = "forecast",
+    threshold: Column | int = 0,
     history_months: int = 24,
 ) -> Cycle:
     """A whole planning cycle, stored: checks, cleaned demand history, the cycle's tables and all results."""
     save(quality_summary(tables, history_months=history_months), QUALITY)
     save(dedupe_exact(tables.actuals), contracts.DEMAND_ACTUALS_CLEAN)
-    cycle = run_cycle(tables, as_of, save, site_mode=site_mode, spine=spine)
+    cycle = run_cycle(
+        tables, as_of, save, horizon_months=horizon_months, site_mode=site_mode, spine=spine, threshold=threshold
+    )
     for name, result in cycle.results().items():
         save(result, name)
     return cycle

@@ -8,15 +8,14 @@ from pyspark.sql import functions as F
 from shelfcast.operators.quality import (
     TableChecks,
     check_table,
-    incomplete_history,
     key_uniqueness,
     label,
     multi_site_materials,
     non_negative,
     not_above,
-    orphan_keys,
     orphans,
     union_all,
+    unpivot,
 )
 from shelfcast.sources.tables import INPUTS, PlanningTables
 
@@ -66,23 +65,38 @@ REFERENCES = [
 ]
 
 
-def quality_summary(tables: PlanningTables, *, history_months: int = 24) -> DataFrame:
-    """Table_Name, Check_Name, Violations: one row per check, zero included.
+def _references(tables: PlanningTables, field: str, history_months: int) -> DataFrame:
+    """Orphan counts of a table, and for the demand history its incomplete groups, as (Check_Name, Violations).
 
-    Key, missing-value and range checks of a table share one scan; references, history and sites read only the
-    columns they compare.
+    One aggregation to distinct keys serves all of them; the masters then meet keys, not rows.
     """
+    df = getattr(tables, field)
+    masters = {key: master for owner, master, key in REFERENCES if owner == field}
+    counts = [F.count("*").alias("n")]
+    if field == "actuals":
+        counts.append(F.count_distinct("Demand_Month").alias("months"))
+    keys = df.groupBy(*masters).agg(*counts)
+    for key, master in masters.items():
+        known = getattr(tables, master).select(F.col(key).alias(f"_{key}")).distinct()
+        keys = keys.join(known, F.col(key) == F.col(f"_{key}"), "left")
+    checks = [
+        (f"Orphan_{key}", F.coalesce(F.sum(F.when(F.col(f"_{key}").isNull(), F.col("n"))), F.lit(0))) for key in masters
+    ]
+    if field == "actuals":
+        checks.append(("Incomplete_History", F.count_if(F.col("months") != history_months)))
+    return unpivot(keys, checks)
+
 
-    def counted(df: DataFrame, field: str, check: str, count=F.count("*")) -> DataFrame:
-        return label(df.agg(F.coalesce(count, F.lit(0)).alias("Violations")), Table_Name=INPUTS[field], Check_Name=check)
+def quality_summary(tables: PlanningTables, *, history_months: int = 24) -> DataFrame:
+    """Table_Name, Check_Name, Violations: one row per check, zero included.
 
+    Each table is evaluated twice at most: for its key, missing-value and range checks, and for its references.
+    """
     parts = [label(check_table(getattr(tables, field), checks), Table_Name=INPUTS[field]) for field, checks in CHECKS.items()]
-    for field, master, key in REFERENCES:
-        missing = orphan_keys(getattr(tables, field), getattr(tables, master), key)
-        parts.append(counted(missing, field, f"Orphan_{key}", F.sum("Row_Count")))
-    gaps = incomplete_history(tables.actuals, ["Customer_ID", "Material_ID"], "Demand_Month", history_months)
-    parts.append(counted(gaps, "actuals", "Incomplete_History"))
-    parts.append(counted(multi_site_materials(tables.inventory), "inventory", "Multi_Site_Materials"))
+    for field in dict.fromkeys(owner for owner, _, _ in REFERENCES):
+        parts.append(label(_references(tables, field, history_months), Table_Name=INPUTS[field]))
+    sites = multi_site_materials(tables.inventory).agg(F.count("*").alias("Violations"))
+    parts.append(label(sites, Table_Name=INPUTS["inventory"], Check_Name="Multi_Site_Materials"))
     return union_all(parts)
 
 

@@ -20,6 +20,11 @@ ANALYSIS = "stockout_risk_analysis"
 STOCKOUTS = "stockout_risk_powerbi"
 REPORT = "stockout_risk_powerbi_final"
 
+# What the stockout list is checked for before it is stored.
+STOCKOUT_REQUIRED = [
+    "Material_ID", "Site_ID", "Stockout_Status", "First_Stockout_Month", "Stockout_Units", "Unit_Price_USD", "Stockout_Value_USD",
+]
+
 MATERIAL_ATTRIBUTES = {
     "Material_Description": T.StringType(),
     "GPL_Code": T.StringType(),

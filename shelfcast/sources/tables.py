@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import functools
-import tempfile
 import uuid
 from collections.abc import Callable
 from functools import cached_property
@@ -76,11 +74,12 @@ def create_table(df: DataFrame, name: str) -> DataFrame:
 def replace_table(df: DataFrame, name: str, *, buckets: int = 0, bucket_by: str = "Material_ID") -> DataFrame:
     """Create or replace a catalog table from a query and read it back.
 
-    With ``buckets`` the rows are clustered by ``bucket_by`` first, so each bucket is one file and later windows,
-    joins and aggregations on that column need no shuffle. Spark refuses to overwrite a table its own plan reads.
+    With ``buckets`` the rows are written in buckets of ``bucket_by``, and later windows, joins and aggregations on that
+    column need no shuffle. Every task writes its own part of each bucket: a hot key's rows are not sent to one task
+    first. Spark refuses to overwrite a table its own plan reads.
     """
     if buckets:
-        writer = df.repartition(buckets, bucket_by).write.bucketBy(buckets, bucket_by).sortBy(bucket_by)
+        writer = df.write.bucketBy(buckets, bucket_by).sortBy(bucket_by)
     else:
         writer = df.write
     writer.mode("overwrite").saveAsTable(name)
@@ -91,11 +90,19 @@ def write_cycle(df: DataFrame, root: str, name: str, cycle: dt.date) -> DataFram
     """Write one planning cycle of a table below ``root`` and read that cycle back.
 
     The partition of this cycle is addressed by its folder: a rerun replaces it, also by an empty result (which a
-    dynamic partition overwrite would leave standing), and other cycles stay. The table is the hand-off between
-    stages: a lost executor costs the stage that ran on it, not the ones before.
+    dynamic partition overwrite would leave standing), and other cycles stay. The rows are complete in a folder of
+    their own before the old ones go and the folder is renamed, so a rerun that fails leaves the cycle as it was. On
+    stores without an atomic rename the exchange itself takes as long as a copy.
     """
-    df.drop("Cycle_Date").write.mode("overwrite").parquet(f"{root}/{name}/Cycle_Date={cycle:%Y-%m-%d}")
-    return read_cycle(df.sparkSession, root, name, cycle)
+    spark, target = df.sparkSession, f"{root}/{name}/Cycle_Date={cycle:%Y-%m-%d}"
+    fresh = f"{root}/{name}/_run-{uuid.uuid4().hex}"  # Spark's readers skip names with an underscore
+    df.drop("Cycle_Date").write.parquet(fresh)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(target).getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(path(target), True)
+    if not files.rename(path(fresh), path(target)):
+        raise OSError(f"{fresh} cannot be renamed to {target}")
+    return read_cycle(spark, root, name, cycle)
 
 
 def read_cycle(spark: SparkSession, root: str, name: str, cycle: dt.date | None = None) -> DataFrame:
@@ -104,30 +111,37 @@ def read_cycle(spark: SparkSession, root: str, name: str, cycle: dt.date | None
     return df if cycle is None else df.filter(F.col("Cycle_Date") == F.lit(cycle))
 
 
-@functools.cache
-def _scratch_for_tests() -> str:
-    return tempfile.mkdtemp(prefix="shelfcast-")
-
-
 def stage_root(spark: SparkSession) -> str:
-    """The shared folder for intermediate tables: ``spark.checkpoint.dir``.
-
-    A local folder stands in only when the setting is missing and Spark itself runs in one process.
-    """
+    """The shared folder for intermediate tables: ``spark.checkpoint.dir``, or a folder of the warehouse, which all
+    executors share as well."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    if not spark.conf.get("spark.master", "local").startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    return _scratch_for_tests()
+    return configured or f"{spark.conf.get('spark.sql.warehouse.dir')}/_stage"
+
+
+_stored_paths: list[str] = []
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Store an intermediate result that several passes read, and cut its lineage there.
 
     A Parquet table rather than an RDD checkpoint: readers keep column pruning and size statistics, and the rows
-    are computed once.
+    are computed once, here and now. `release` removes what was stored.
     """
     path = f"{stage_root(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _stored_paths.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stored_so_far() -> int:
+    """A mark for `release`."""
+    return len(_stored_paths)
+
+
+def release(spark: SparkSession, since: int = 0) -> None:
+    """Remove the intermediate tables stored since a mark. Their readers must be done."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for path in _stored_paths[since:]:
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(conf).delete(folder, True)
+    del _stored_paths[since:]

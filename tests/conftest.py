@@ -19,6 +19,7 @@ def spark(tmp_path_factory):
         .config("spark.checkpoint.dir", str(scratch / "stage"))
         .config("spark.sql.warehouse.dir", str(scratch / "warehouse"))
         .config("spark.driver.extraJavaOptions", f"-Dderby.system.home={scratch}")
+        .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "6g")
         .getOrCreate()
     )

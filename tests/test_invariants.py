@@ -11,6 +11,9 @@ from shelfcast.sources import starschema
 from shelfcast.sources.tables import materialise
 
 
+AS_OF = starschema.DEFAULT_CALENDAR.as_of
+
+
 @pytest.fixture(scope="module")
 def t(spark, data_dir):
     return starschema.planning_tables(spark, data_dir)
@@ -18,7 +21,7 @@ def t(spark, data_dir):
 
 @pytest.fixture(scope="module")
 def projected(t):
-    return materialise(scenarios.scenario_projection(cycle.analysis_of(t)), "projected")
+    return materialise(scenarios.scenario_projection(cycle.analysis_of(t, as_of=AS_OF, horizon_months=6)), "projected")
 
 
 @pytest.fixture(scope="module")
@@ -40,7 +43,7 @@ def test_last_month_equals_opening_plus_all_flow(projected):
 
 
 def test_one_row_per_material_and_month(t, projected):
-    months = t.forecast.select("Forecast_Month", "Material_ID").distinct().count()
+    months = projection.in_horizon(t.forecast, "Forecast_Month", AS_OF, 6).select("Forecast_Month", "Material_ID").distinct().count()
     assert projected.count() == months == projected.select("Month", "Material_ID").distinct().count()
 
 
@@ -100,3 +103,44 @@ def test_result_does_not_depend_on_partitioning(spark, t, data_dir):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert got == expected
+
+
+def test_all_order_lines_up_to_the_cutover_are_read(spark, t, data_dir):
+    orders = spark.read.parquet(f"{data_dir}/orders.parquet").filter(F.col("o_orderdate") < F.lit("2001-01-01").cast("timestamp_ntz"))
+    lines = spark.read.parquet(f"{data_dir}/lineitem.parquet").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    key = F.col("l_orderkey")
+    copies = lines.filter((key % 101 == 0) & (key % 997 != 3) & (key % 991 != 4)).count()
+    assert t.actuals.count() == lines.count() + copies
+    assert t.supply.count() == spark.read.parquet(f"{data_dir}/lineitem.parquet").count()
+
+
+def test_sites_add_up_to_the_material(spark, t, data_dir):
+    stock = starschema.multi_site_inventory(spark, data_dir)
+    options = {"as_of": AS_OF, "horizon_months": 6}
+    pooled = projection.project_inventory(t.forecast, t.supply, stock, site_mode="pooled", **options)
+    sites = projection.project_inventory(t.forecast, t.supply, stock, site_mode="by_site", **options)
+    units = ["Forecast_Units", "Starting_Inventory", *projection.SUPPLY_COLUMNS, "Projected_Inventory"]
+    added = sites.groupBy("Month", "Material_ID").agg(*[F.sum(c).alias(c) for c in units])
+    columns = ["Month", "Material_ID", *units]
+    assert pooled.select(columns).exceptAll(added.select(columns)).count() == 0
+    assert added.count() == pooled.count()
+
+
+def test_flags_and_counts_agree_for_any_threshold(t):
+    for limit in (0, 5, F.col("Safety_Stock_Units")):
+        analysis = cycle.analysis_of(t, as_of=AS_OF, horizon_months=6, threshold=limit)
+        counts = scenarios.scenario_counts(cycle.profile_of(analysis, threshold=limit)).first()
+        assert counts.At_Risk_Confirmed == projection.stockout_material_count(analysis).first()[0]
+
+
+def test_references_evaluate_the_history_twice_at_most(t):
+    from shelfcast.plans import validation
+
+    plan = validation.quality_summary(t)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("o_orderdate") and sum("Relation" in line and "o_orderdate" in line for line in plan.split("\n")) <= 4
+
+
+def test_the_report_joins_the_master_only(t):
+    profile = materialise(cycle.profile_of(cycle.analysis_of(t, as_of=AS_OF, horizon_months=6)), "profile")
+    plan = cycle.report_of(profile, materialise(t.materials, "materials"))._jdf.queryExecution().optimizedPlan().toString()
+    assert sum("Join " in line for line in plan.split("\n")) == 1

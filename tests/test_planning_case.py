@@ -9,6 +9,7 @@ import pytest
 from pyspark.errors import PySparkException
 
 from planning_case import AS_OF, M1, M2, M3, tables
+from shelfcast.functions.prefix_sum import with_rank
 from shelfcast.operators import dashboard, drivers, projection, scenarios
 from shelfcast.plans import cycle
 
@@ -119,12 +120,12 @@ def test_stockout_counts_and_timing(analysis):
     assert tuple(projection.unknown_inventory(analysis).collect()[0]) == (1, 3)
 
 
-def test_scenario_counts(projected):
-    assert tuple(scenarios.scenario_counts(projected).collect()[0]) == (5, 4, 3, 1, 1)
+def test_scenario_counts(profile):
+    assert tuple(scenarios.scenario_counts(profile).collect()[0]) == (5, 4, 3, 1, 1)
 
 
-def test_residual_risk(projected):
-    got = by_material(scenarios.residual_risk(projected), "Site_ID", "Lowest_Projected_Inventory")
+def test_residual_risk(profile):
+    got = by_material(scenarios.residual_risk(profile), "Site_ID", "Lowest_Projected_Inventory")
     assert got == {"C": ("S2", -15), "D": ("S2", -50), "F": ("S3", -7), "H": ("S3", -5)}
 
 
@@ -196,9 +197,8 @@ def test_demand_signal_gap(t, final):
     assert got == {"D": (-6, 18), "F": (-2, 7), "H": (-2, 1)}
 
 
-@pytest.mark.parametrize("exact", [False, True])
-def test_forecast_change(t, final, exact):
-    changes = drivers.forecast_change_by_group(t.forecast, final, exact_median=exact)
+def test_forecast_change(t, final):
+    changes = drivers.forecast_change_by_group(t.forecast, final)
     assert keyed(
         changes, "Material_Count", "Avg_Forecast_Change_Pct", "Median_Forecast_Change_Pct", key=("Risk_Group",)
     ) == {("Critical Stockout",): (3, 25.0, 25.0), ("Other Materials",): (4, 0.0, 0.0)}
@@ -269,7 +269,7 @@ def test_single_site_mode_refuses_several_rows(two_sites):
 
 def test_by_site(two_sites):
     got = keyed(cycle.analysis_of(two_sites, site_mode="by_site"), "Projected_Inventory", key=("Site_ID", "Month"))
-    assert got == {("S1", M1): (-5,), ("S1", M2): (-20,), ("S2", M1): (5,), ("S2", M2): (-10,)}
+    assert got == {("S1", M1): (5,), ("S1", M2): (0,), ("S2", M1): (10,), ("S2", M2): (0,)}
 
 
 def test_by_site_keeps_materials_without_stock(spark):
@@ -288,15 +288,120 @@ def test_pooled(two_sites):
 def test_a_material_is_critical_at_all_its_sites_if_it_is_at_one(spark):
     case = tables(
         spark,
-        forecast=[(M1, "C1", "G", 15, 15, 15)],
+        forecast=[(M1, "C1", "G", 30, 30, 30)],
         supply=[("S1", "G", "S1", M1, 8, "At Risk", "x")],
-        inventory=[(AS_OF, "G", "S1", 0, 0, 0, 0), (AS_OF, "G", "S2", 10, 0, 10, 0)],
+        inventory=[(AS_OF, "G", "S1", 10, 0, 10, 0), (AS_OF, "G", "S2", 10, 0, 10, 0)],
     )
     profile = cycle.profile_of(cycle.analysis_of(case, site_mode="by_site"), site_mode="by_site")
     got = keyed(scenarios.prioritise(profile), "Worst_Projected_Inventory", "Stockout_Status", key=("Site_ID",))
-    assert got == {("S1",): (-15, "Critical Stockout"), ("S2",): (-5, "Critical Stockout")}
+    assert got == {("S1",): (-5, "Critical Stockout"), ("S2",): (-5, "Critical Stockout")}
+    # The receipt for S1 covers S1 and rescues nobody else.
     remaining = keyed(scenarios.supply_coverage(profile), "Remaining_Shortfall_Units", key=("Site_ID",))
-    assert remaining == {("S1",): (7,), ("S2",): (0,)}
+    assert remaining == {("S1",): (0,), ("S2",): (5,)}
+
+
+def test_sites_without_stock_and_receipts_without_site(spark):
+    case = tables(
+        spark,
+        forecast=[(M1, "C1", "G", 7, 7, 7), (M1, "C1", "N", 7, 7, 7), (M1, "C1", "U", 9, 9, 9)],
+        supply=[
+            ("1", "G", "S9", M1, 4, "Confirmed", "x"),
+            ("2", "G", None, M1, 2, "Confirmed", "x"),
+            ("3", "U", "S1", M1, 5, "Confirmed", "x"),
+            ("4", "U", None, M1, 5, "Confirmed", "x"),
+        ],
+        inventory=[(AS_OF, "G", "S1", 1, 0, 1, 3), (AS_OF, "G", "S2", 2, 0, 2, 4), (AS_OF, "N", "S2", 0, 0, -1, 4),
+                   (AS_OF, "N", "S1", 0, 0, 0, 4)],
+    )
+    got = keyed(
+        cycle.analysis_of(case, site_mode="by_site"),
+        "Starting_Inventory", "Forecast_Units", "Confirmed_Supply", "Projected_Inventory",
+        key=("Material_ID", "Site_ID"),
+    )
+    assert got == {
+        ("G", "S1"): (1, 2, 2, 1),
+        ("G", "S2"): (2, 5, 0, -3),
+        ("G", "S9"): (0, 0, 4, 4),
+        ("N", "S1"): (0, 7, 0, -7),
+        ("N", "S2"): (-1, 0, 0, -1),
+        ("U", None): (None, 9, 10, None),
+    }
+
+
+def test_a_site_not_counted_last_keeps_its_stock(spark):
+    early = dt.date(2026, 8, 30)
+    case = tables(
+        spark,
+        forecast=[(M1, "C1", "G", 15, 15, 15), (M1, "C1", "K", 5, 5, 5)],
+        supply=[],
+        inventory=[(early, "G", "S1", 100, 0, 100, 0), (AS_OF, "K", "S1", 4, 0, 4, 0)],
+    )
+    assert by_material(cycle.analysis_of(case, as_of=AS_OF), "Projected_Inventory") == {"G": (85,), "K": (-1,)}
+
+
+def test_horizon(t):
+    def months(**options):
+        return {row.Month for row in cycle.analysis_of(t, **options).collect()}
+
+    assert months(as_of=AS_OF) == {M1, M2, M3}
+    assert months(as_of=AS_OF, horizon_months=2) == {M1, M2}
+    assert months(as_of=dt.date(2026, 9, 30), horizon_months=6) == {M2, M3}
+
+
+def test_a_missing_site_keeps_its_remaining_shortage(spark):
+    case = tables(spark, forecast=[(M1, "C1", "D", 15, 15, 15)], supply=[], inventory=[(AS_OF, "D", None, 5, 0, 5, 0)])
+    profile = cycle.profile_of(cycle.analysis_of(case))
+    assert by_material(cycle.report_of(profile, case.materials), "Remaining_Shortfall_Units") == {"D": (10,)}
+    joined = drivers.reporting_table(cycle.stockouts_of(profile, case.materials), scenarios.supply_coverage(profile))
+    assert by_material(joined, "Remaining_Shortfall_Units") == {"D": (10,)}
+
+
+def test_the_carried_report_is_the_joined_one(t, profile, report):
+    carried = cycle.report_of(profile, t.materials)
+    assert carried.columns == report.columns
+    assert sorted(map(tuple, carried.collect()), key=repr) == sorted(map(tuple, report.collect()), key=repr)
+
+
+def test_keyless_receipts_are_kept_apart_or_counted(spark):
+    case = tables(
+        spark,
+        forecast=[(None, "C1", "A", 5, 5, 5), (M1, "C1", None, 6, 6, 6), (M1, "C1", "A", 7, 7, 7)],
+        supply=[("1", "A", "S1", None, 4, "Confirmed", "x"), ("2", None, "S1", M1, 8, "Confirmed", "x"),
+                ("3", "A", "S1", M2, 2, "Planned", "x"), ("4", "A", "S1", M1, 1, "Planned", "x")],
+    )
+    balance = projection.forecast_supply_balance(case.forecast, case.supply, spine="union")
+    got = sorted(((r.Material_ID, r.Month, r.Forecast_Units, r.Confirmed_Supply, r.Planned_Supply) for r in balance.collect()), key=repr)
+    assert got == sorted(
+        [("A", None, 5, 0, 0), (None, M1, 6, 0, 0), ("A", M1, 7, 0, 1), ("A", None, 0, 4, 0), (None, M1, 0, 8, 0), ("A", M2, 0, 0, 2)],
+        key=repr,
+    )
+    assert tuple(projection.unmatched_supply(case.forecast, case.supply).first()) == (2, 12, 1, 2)
+
+
+def test_median_is_exact_at_every_size(spark):
+    n = 25_001
+    forecast = spark.range(n).selectExpr(
+        "date'2026-09-01' AS Forecast_Month", "'C' AS Customer_ID", "'M' || id AS Material_ID",
+        "1000 + (id * 7919) % 1009 AS Current_Forecast_Units", "0L AS Customer_Demand_Units", "1000L AS Prior_Cycle_Forecast_Units",
+    )
+    final = spark.createDataFrame([], "Material_ID string, Stockout_Status string")
+    row = drivers.forecast_change_by_group(forecast, final).first()
+    changes = sorted(round((i * 7919) % 1009 / 10, 1) for i in range(n))
+    assert row.Median_Forecast_Change_Pct == changes[(n - 1) // 2]
+
+
+def test_ranks_follow_the_order(final):
+    ranks = by_material(with_rank(final, "Stockout_Value_USD", ["Material_ID", "Site_ID"], buckets=3), "Rank")
+    assert ranks == {"D": (1,), "C": (2,), "H": (3,), "F": (4,)}
+
+
+def test_own_scenarios(analysis):
+    both = {"Both": ("Confirmed_Supply", "Planned_Supply", "At_Risk_Supply", "Unknown_Supply")}
+    projected = scenarios.scenario_projection(analysis, {**scenarios.SCENARIOS, **both})
+    labels = {"Confirmed": scenarios.CONFIRMED, "Everything": "Both"}
+    profile = scenarios.risk_profile(projected, scenarios=labels, rescue="Both")
+    assert tuple(scenarios.scenario_counts(profile, list(labels)).first()) == (5, 2, 3)
+    assert {r.Material_ID for r in scenarios.prioritise(profile).where("Critical_Stockout_Flag = 1").collect()} == {"F", "H"}
 
 
 def test_only_the_latest_known_snapshot_counts(spark):
@@ -314,6 +419,9 @@ def test_threshold(t):
     analysis = projection.stockout_risk_analysis(t.forecast, t.supply, t.inventory, threshold=1)
     got = keyed(analysis, "Stockout_Risk_Flag", key=("Material_ID", "Month"))
     assert got["A", M3] == (1,)
+    profile = cycle.profile_of(analysis, threshold=1)
+    assert scenarios.scenario_counts(profile).first().At_Risk_Confirmed == projection.stockout_material_count(analysis).first()[0]
+    assert by_material(scenarios.severity(scenarios.prioritise(profile, shortages=True)), "Projected_Shortfall_Units")["A"] == (1,)
 
 
 @pytest.mark.parametrize("option", [{"spine": "none"}, {"site_mode": "none"}])

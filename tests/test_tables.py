@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import functions as F
 
 from planning_case import AS_OF, rows, tables
@@ -13,7 +17,7 @@ from shelfcast.operators import drivers, quality
 from shelfcast.operators.scenarios import supply_coverage
 from shelfcast.plans import cycle, job
 from shelfcast.session import shuffle_partitions
-from shelfcast.sources import contracts
+from shelfcast.sources import contracts, starschema
 from shelfcast.sources.tables import (
     INPUTS,
     create_table,
@@ -21,8 +25,10 @@ from shelfcast.sources.tables import (
     read_cycle,
     read_inputs,
     read_table,
+    release,
     replace_table,
     stage_root,
+    stored_so_far,
     write_cycle,
 )
 
@@ -97,8 +103,8 @@ def test_cycles_are_kept_apart_and_reruns_replace(spark, tmp_path):
     for as_of in (AS_OF, later, AS_OF):
         result = cycle.run_cycle(t, as_of, cycle.cycle_store(str(tmp_path), as_of))
     assert result.report.count() == 4
-    assert read_cycle(spark, str(tmp_path), contracts.REPORT).count() == 8
-    assert read_cycle(spark, str(tmp_path), contracts.REPORT, later).count() == 4
+    assert read_cycle(spark, str(tmp_path), contracts.REPORT).count() == 6
+    assert read_cycle(spark, str(tmp_path), contracts.REPORT, later).count() == 2
     plan = read_cycle(spark, str(tmp_path), contracts.REPORT, later)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(Cycle_Date" in plan
 
@@ -108,6 +114,7 @@ def test_cycles_are_kept_apart_and_reruns_replace(spark, tmp_path):
         "stockout_timing": 2,
         "scenario_counts": 1,
         "status_counts": 2,
+        "stockout_null_profile": 1,
         "lead_time_exposure": 3,
         "critical_rate_by_lead_time": 4,
         "demand_signal_gap": 3,
@@ -134,6 +141,7 @@ def test_job_refreshes_everything_from_files(spark, stored, tmp_path):
         "stockout_timing",
         "scenario_counts",
         "status_counts",
+        "stockout_null_profile",
         "lead_time_exposure",
         "critical_rate_by_lead_time",
         "demand_signal_gap",
@@ -156,6 +164,7 @@ def test_an_empty_plan(spark):
     assert got.pop("scenario_counts") == [(0, 0, 0, 0, 0)]
     assert got.pop("report_qa") == [(0, 0, 0, 0, 0, 0)]
     assert [float(v) for v in got.pop("kpi_summary")[0]] == [0, 0, 0, 0, 0]
+    assert got.pop("stockout_null_profile") == [(0,) * 8]
     assert set(map(tuple, got.values())) == {()}
 
 
@@ -167,6 +176,49 @@ def test_intermediate_tables_go_to_the_shared_folder(spark):
     assert all(root in f for f in df.inputFiles())
 
 
+def test_intermediate_tables_are_removed_when_their_reader_is_done(spark, tmp_path):
+    stage, mark = Path(stage_root(spark)), stored_so_far()
+    before = set(stage.iterdir()) if stage.exists() else set()
+    cycle.run_cycle(tables(spark), AS_OF, cycle.cycle_store(str(tmp_path), AS_OF))
+    assert set(stage.iterdir()) == before and stored_so_far() == mark
+    materialise(spark.range(3), "numbers")
+    release(spark, mark)
+    assert set(stage.iterdir()) == before
+
+
+def test_a_failing_rerun_leaves_its_cycle(spark, tmp_path):
+    write_cycle(spark.range(3), str(tmp_path), "numbers", AS_OF)
+    with pytest.raises(PySparkException):
+        write_cycle(spark.range(2).select(F.raise_error(F.lit("no")).cast("bigint").alias("id")), str(tmp_path), "numbers", AS_OF)
+    assert read_cycle(spark, str(tmp_path), "numbers", AS_OF).count() == 3
+
+
+def test_a_star_schema_with_a_missing_column_is_refused(spark, tmp_path):
+    spark.range(1).selectExpr("id AS p_partkey").write.parquet(f"{tmp_path}/part.parquet")
+    with pytest.raises(contracts.ContractError, match="p_name"):
+        starschema.inventory_snapshot(spark, str(tmp_path))
+
+
+ROOT = Path(__file__).resolve().parents[1]
+
+
+def test_the_documented_command_starts(tmp_path):
+    done = subprocess.run(
+        [sys.executable, str(ROOT / "shelfcast/plans/job.py"), "--help"], cwd=tmp_path, capture_output=True, text=True, timeout=120
+    )
+    assert done.returncode == 0 and "--as-of" in done.stdout, done.stderr
+
+
+def test_the_submitters_shuffle_partitions_stay(tmp_path):
+    code = "from shelfcast.session import builder; print('n =', builder().getOrCreate().conf.get('spark.sql.shuffle.partitions'))"
+    env = os.environ | {
+        "PYTHONPATH": str(ROOT),
+        "PYSPARK_SUBMIT_ARGS": "--master local[1] --conf spark.sql.shuffle.partitions=400 pyspark-shell",
+    }
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=180)
+    assert "n = 400" in done.stdout, done.stderr
+
+
 def test_write_cycle_returns_the_stored_rows(spark, tmp_path):
     df = write_cycle(spark.range(3), str(tmp_path), "numbers", AS_OF)
     assert {(r.id, r.Cycle_Date) for r in df.collect()} == {(i, AS_OF) for i in range(3)}
