@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -11,24 +10,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``; a local session without it (tests) gets its own."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="llm-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+from shelfcast.sources.tables import materialise
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate result to the shared folder and read it back: the lineage ends there, so a lost executor
     costs the stage it ran, and several readers share one computation."""
-    path = f"{shared_folder(df.sparkSession)}/llm/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return materialise(df, f"llm-{name}")
 
 
 def table(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -48,6 +36,37 @@ def ascii_words(texts: pa.Array | pa.ChunkedArray) -> tuple[pa.Array, np.ndarray
     return flat.filter(pa.array(filled)), offsets
 
 
+BASE = 0x5851F42D4C957F2D  # of polynomial hashes; odd, so it has an inverse modulo 2^64
+
+
+def powers(n: int, base: int = BASE) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` powers of the base and of its inverse, modulo 2^64. With prefix sums of values times powers, the
+    difference of two sums times a power of the inverse is the hash of what is between them, wherever it is."""
+
+    def up(base: int) -> np.ndarray:
+        out = np.ones(n, np.uint64)
+        width = 1
+        while width < n:  # doubling: the second half is the first times base^width
+            more = min(width, n - width)
+            out[width : width + more] = out[:more] * np.uint64(pow(base, width, 1 << 64))
+            width += more
+        return out
+
+    return up(base), up(pow(base, -1, 1 << 64))
+
+
+def parts(texts: pa.Array, size: int = 4 << 20) -> Iterator[pa.Array]:
+    """Slices of a batch of texts that have about ``size`` bytes each, one text at least: what is made of a batch at once
+    stays small, however many rows Spark puts into it."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(texts):
+        before = ends[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(ends, before + size, "right")))
+        yield texts.slice(at, end - at)
+        at = end
+
+
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Label every node of ``edges`` with the smallest node reachable from it: columns ``node`` and ``root``.
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from shelfcast.llm.common import ascii_words, table
+from shelfcast.llm.common import ascii_words, parts, table
 
 MIN_REPEAT = 12  # words: a shorter repeat is no repeat for the method
 MAX_COVERED = 0.25  # fraction of words inside repeats
@@ -165,7 +165,8 @@ def with_repetition(
     @arrow_udf(METRICS)
     def metrics(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            found = measure(texts, min_repeat=min_repeat, max_covered=max_covered, max_repeat=max_repeat)
+            limits = {"min_repeat": min_repeat, "max_covered": max_covered, "max_repeat": max_repeat}
+            found = pd.concat([measure(part, **limits) for part in parts(texts)] or [measure(texts, **limits)])
             yield pa.RecordBatch.from_pandas(found, preserve_index=False).to_struct_array()
 
     return docs.withColumn(name, metrics(F.col(column).cast("string")))
@@ -185,36 +186,47 @@ def stage(spark: SparkSession, docs: DataFrame, root: str) -> DataFrame:
 _SPLIT = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
 
 
-def _covered(length: int) -> str:
+def _covered(length: int, windows: str) -> str:
+    """Words inside windows of ``length`` words (rows r, p, h) that occur twice or more in their document."""
     return f"""
   SELECT r, count(*) AS n FROM (
     SELECT DISTINCT r, p + unnest(range({length})) AS p FROM (
-      SELECT r, p, count(*) OVER (PARTITION BY r, array_to_string(words[p:p + {length - 1}], ' ')) AS k
-      FROM (SELECT r, words, unnest(range(1, len(words) - {length} + 2)) AS p FROM split)
+      SELECT r, p, count(*) OVER (PARTITION BY r, h) AS k FROM {windows}
     ) WHERE k > 1
   ) GROUP BY r"""
 
 
-# The longest repeat: places whose n-word string is repeated, extended word by word while any are left.
+def _longest(levels: int = 16) -> str:
+    """The longest repeat of each document: hashes of all strings of 1, 2, 4, ... words by doubling, then the length bit by bit
+    from the largest, keeping the places whose string is still repeated."""
+    steps = ["level0 AS (SELECT r, unnest(range(1, len(words) + 1)) AS p, hash(unnest(words)) AS h FROM split)"]
+    for i in range(1, levels):
+        steps.append(
+            f"level{i} AS MATERIALIZED (SELECT a.r, a.p, hash(a.h, b.h) AS h FROM level{i - 1} a"
+            f" JOIN level{i - 1} b ON b.r = a.r AND b.p = a.p + {1 << (i - 1)})"
+        )
+    steps.append(f"place{levels} AS (SELECT r, p, 0 AS n, 0::UBIGINT AS h FROM level0)")
+    for i in reversed(range(levels)):
+        steps.append(
+            f"longer{i} AS MATERIALIZED (SELECT r, p, n, h FROM (SELECT w.r, w.p, w.n + {1 << i} AS n, hash(w.h, v.h) AS h,"
+            f" count(*) OVER (PARTITION BY w.r, hash(w.h, v.h)) AS k FROM place{i + 1} w"
+            f" JOIN level{i} v ON v.r = w.r AND v.p = w.p + w.n) WHERE k > 1)"
+        )
+        steps.append(
+            f"place{i} AS MATERIALIZED (SELECT * FROM longer{i} UNION ALL"
+            f" SELECT * FROM place{i + 1} WHERE r NOT IN (SELECT r FROM longer{i}))"
+        )
+    steps.append("longest AS (SELECT r, max(n) AS n FROM place0 GROUP BY r)")
+    return ", ".join(steps)
+
+
 OP2_SQL = f"""
-WITH RECURSIVE split AS (
+WITH split AS (
   SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, {_SPLIT} AS words FROM documents
-), repeats8 AS ({_covered(WINDOW)}
-), repeats AS ({_covered(MIN_REPEAT)}
-), places AS (
-  SELECT r, unnest(range(1, len(words) + 1)) AS p, unnest(words) AS word FROM split
-), grown AS (
-  SELECT r, p, 1 AS n, s FROM (
-    SELECT r, p, hash(word) AS s, count(*) OVER (PARTITION BY r, word) AS k FROM places
-  ) WHERE k > 1
-  UNION ALL
-  SELECT r, p, n, s FROM (
-    SELECT g.r, g.p, g.n + 1 AS n, hash(g.s, w.word) AS s,
-           count(*) OVER (PARTITION BY g.r, g.s, w.word) AS k
-    FROM grown g JOIN places w ON w.r = g.r AND w.p = g.p + g.n
-  ) WHERE k > 1
-), longest AS (
-  SELECT r, max(n) AS n FROM grown GROUP BY r
+), {_longest()}, windows12 AS (
+  SELECT a.r, a.p, hash(a.h, b.h) AS h FROM level3 a JOIN level2 b ON b.r = a.r AND b.p = a.p + 8
+), repeats8 AS ({_covered(WINDOW, "level3")}
+), repeats AS ({_covered(MIN_REPEAT, "windows12")}
 ), lines AS (
   SELECT r, count(*) - count(DISTINCT line) AS n FROM (SELECT r, unnest(string_split(text, chr(10))) AS line FROM split)
   WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY r

@@ -98,3 +98,15 @@ def test_stage_keeps_one_of_each_group(spark):
     assert kept.columns == docs.columns
     assert sorted((r.doc_id, r.text) for r in kept.where("doc_id is not null").collect()) == [(4, text), (9, "quite another text about other things")]
     assert [r.text for r in kept.where("doc_id is null").collect()] == ["alone here now"]
+
+
+def test_parts_of_a_batch_are_bounded_and_complete():
+    import pyarrow as pa
+
+    from shelfcast.llm.common import parts
+
+    texts = pa.array(["ab", None, "c" * 50, "", "de", "f"] * 3)
+    cut = list(parts(texts, 4))
+    assert [t for p in cut for t in p.to_pylist()] == texts.to_pylist()
+    assert all(len(p) == 1 or sum(len(t or "") for t in p.to_pylist()) <= 4 for p in cut)
+    assert list(parts(texts.slice(0, 0), 4)) == []
