@@ -19,8 +19,8 @@ SIZES = (3, 4, 5)  # bytes of an n-gram
 DIMENSION = 16
 EPOCHS = 6
 RATE, VECTOR_RATE = 0.2, 40.0  # a vector moves by its share of the document, so it needs larger steps
-TRAIN_ROWS = 4000  # labelled documents that the model is fitted on, at most
-TRAIN_BYTES = 32 << 20  # and bytes of their texts
+TRAIN_ROWS = 3000  # labelled documents that the model is fitted on, at most
+TRAIN_BYTES = 16 << 20  # and bytes of their texts
 THRESHOLD = 0.3
 PART = 1 << 20  # bytes hashed at once
 WORD_BASE = np.uint64(0x9E3779B97F4A7C15)
