@@ -55,7 +55,7 @@ def powers(n: int, base: int = BASE) -> tuple[np.ndarray, np.ndarray]:
     return up(base), up(pow(base, -1, 1 << 64))
 
 
-def parts(texts: pa.Array, size: int = 4 << 20) -> Iterator[pa.Array]:
+def parts(texts: pa.Array, size: int = 2 << 20) -> Iterator[pa.Array]:
     """Slices of a batch of texts that have about ``size`` bytes each, one text at least: what is made of a batch at once
     stays small, however many rows Spark puts into it."""
     ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
