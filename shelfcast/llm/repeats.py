@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from shelfcast.llm.common import staged, table
+from shelfcast.llm.common import powers, staged, table
 
 MIN_BYTES = 400
 ANCHOR_BYTES = 64
@@ -29,17 +29,6 @@ CUT_BYTES = 1 << 20  # longer texts are indexed in overlapping cuts
 BLOCK_BYTES = 8 << 20  # pieces that go through the rounds together
 GROUP_PIECES = 1 << 16  # larger groups are compared window by window, see ``_crowded``
 MIX = np.uint64(0x9E3779B97F4A7C15)
-BASE = 0x5851F42D4C957F2D  # odd, so it has an inverse modulo 2^64
-
-
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.ones(n, np.uint64)
-    width = 1
-    while width < n:  # doubling: the second half is the first times base^width
-        more = min(width, n - width)
-        out[width : width + more] = out[:more] * np.uint64(pow(base, width, 1 << 64))
-        width += more
-    return out
 
 
 class Anchors:
@@ -48,7 +37,7 @@ class Anchors:
     def __init__(self, min_bytes: int, anchor_bytes: int) -> None:
         self.min_bytes, self.anchor_bytes = min_bytes, anchor_bytes
         size = CUT_BYTES + min_bytes
-        self.up, self.down = _powers(BASE, size + 1), _powers(pow(BASE, -1, 1 << 64), size + 1)
+        self.up, self.down = powers(size + 1)
 
     def hashes(self, data: np.ndarray) -> np.ndarray:
         """A hash of the ``anchor_bytes`` bytes at each position, from prefix sums."""
@@ -274,11 +263,14 @@ def repeated_windows(
     whose anchor others share, which copies and unrelated texts do not need.
     """
     pieces = staged(texts.select("a", "b", "text").mapInArrow(_index(Anchors(min_bytes, anchor_bytes)), _PIECES), "pieces")
-    anchors = (
+    # Stored, like the groups below: a join right after the aggregation would use its shuffle, and a hot anchor's pieces
+    # could not be split.
+    anchors = staged(
         pieces.groupBy("key")
         .agg(F.count("*").alias("n"), F.min("content").alias("lo"), F.max("content").alias("hi"))
         .where("n > 1")
-        .select("key", (F.col("lo") != F.col("hi")).alias("mixed"))
+        .select("key", (F.col("lo") != F.col("hi")).alias("mixed")),
+        "anchors",
     )
     shared = staged(pieces.join(anchors, "key"), "shared")
     alike = shared.where("NOT mixed").select("a", "b", "start", F.col("windows").cast("long"))
@@ -295,8 +287,9 @@ def repeated_windows(
     )
     # Contents of one key that are all copied need no rounds, nor do keys where nothing is single.
     groups = contents.groupBy("key").agg(F.count("*").alias("members"), F.min("copies").alias("fewest"))
+    groups = staged(groups.where("members > 1 AND fewest = 1"), "groups")
     wanted = (
-        contents.join(groups.where("members > 1 AND fewest = 1"), "key")
+        contents.join(groups, "key")
         .select("one.*", "key", "content", "copies", "members")
         .groupBy("a", "b")
         .agg(F.collect_list(F.struct("start", "windows", "at", "key", "content", "copies", "members")).alias("pieces"))
