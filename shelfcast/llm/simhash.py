@@ -191,13 +191,15 @@ def link_fingerprints(points: DataFrame, reach: int, *, shard_points: int, sampl
     """Links ``a, b`` between the distinct fingerprints of the column ``fp`` whose graph has the same components as that
     of all pairs within ``reach`` bits.
 
-    The vantage points of the shards come from a bounded sample; every fingerprint is then routed to its home shard and
+    The vantage points of the shards come from a sample of bounded size (an index; every fingerprint is compared); every fingerprint is then routed to its home shard and
     to the shards its ball overlaps, and each shard is searched exactly. A shard returns a link per point, not pairs.
     """
     count = points.count()
     shards = min(-(-count // shard_points), sample_points // 16)
-    taken = points.orderBy(F.xxhash64("fp"), "fp").limit(sample_points if shards > 1 else 1).toPandas()["fp"]
-    nodes = shard_tree(taken.to_numpy(np.int64).view(np.uint64), max(1, shards))
+    # One of so many fingerprints by hash: about ``sample_points`` of them, whatever the number of partitions.
+    one_of = -(-count // sample_points) if shards > 1 else count + 1
+    taken = points.where(F.pmod(F.xxhash64("fp"), F.lit(one_of)) == 0).select("fp").toPandas()["fp"]
+    nodes = shard_tree(np.sort(taken.to_numpy(np.int64)).view(np.uint64), max(1, shards))
 
     def routed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
