@@ -110,18 +110,59 @@ RULES: list[tuple[str, str]] = [
 ]
 
 
+#: Other SPDX identifiers. What none of the tags names is hinted at only; NONE and NOASSERTION name no licence.
+SPDX: list[tuple[str, str]] = [
+    ("agpl3", r"spdx license identifier agpl 3\.0"),
+    ("lgpl", r"spdx license identifier lgpl\b"),
+    ("epl", r"spdx license identifier epl\b"),
+    ("zlib", r"spdx license identifier zlib\b(?! acknowledgement)"),
+    ("boost", r"spdx license identifier bsl 1\.0"),
+    ("unlicense", r"spdx license identifier unlicense\b"),
+    ("cc0", r"spdx license identifier cc0\b"),
+    *[(name, rf"spdx license identifier {name.replace('_', ' ')}\b(?! n[cd]\b| sa\b)") for name in
+      ("cc_by_nc_nd", "cc_by_nc_sa", "cc_by_nc", "cc_by_nd", "cc_by_sa", "cc_by")],
+    ("some_licence", r"spdx license identifier (?!(?:none|noassertion)\b)[a-z0-9]"),
+]
+
+#: An SPDX tag begins a sentence of its own, and so does each further identifier of its expression.
+SPDX_TAG = r"(?i)[\r\n][^a-zA-Z0-9\r\n]*spdx-license-identifier"
+SPDX_END = r"(?i)(spdx-license-identifier[^\r\n]*)[\r\n]"
+SPDX_OPERATOR = (
+    r"((?i:spdx-license-identifier)[ \t:(]*[A-Za-z0-9.+-]+|\G(?<!\A))((?:[ \t]+(?:WITH|with)[ \t]+[A-Za-z0-9.+-]+)?)"
+    r"[ \t)]+(?:OR|AND|(?:or|and)(?=[ \t(]+[A-Z0-9]))[ \t(]+([A-Za-z0-9.+-]+)"
+)
+
+#: These reach over other words, or stand for a licence that others name better: they come after all others.
+LAST = ("gpl3_later", "gpl2_later", "gpl3", "gpl2", "gpl")
+HINT = "some_licence"
+
+
+def _ordered() -> list[tuple[str, str]]:
+    named = [r for r in SENTENCES if r[0].startswith("spdx_")] + SPDX
+    prose = [r for r in SENTENCES if not r[0].startswith("spdx_") and r[0] != HINT]
+    return named + [r for r in prose if r[0] not in LAST] + [r for r in prose if r[0] in LAST]
+
+
 def sentence_ids(text: Column) -> Column:
-    """The identifiers of the known sentences of a text, in order."""
-    normal = F.regexp_replace(F.translate(text, UPPER, LOWER), NOT_IN_SENTENCES, " ")
+    """The identifiers of the known sentences of a text, in order: all that a sentence contains, each once, by position.
+
+    Of overlapping ones the more specific counts; a hint counts in sentences that name nothing else.
+    """
+    tags = F.regexp_replace(F.regexp_replace(text, SPDX_TAG, " . SPDX-License-Identifier"), SPDX_END, "$1 . ")
+    tags = F.regexp_replace(tags, SPDX_OPERATOR, "$1$2 . SPDX-License-Identifier: $3")
+    spelled = F.when(F.contains(F.translate(text, UPPER, LOWER), F.lit("spdx")), tags).otherwise(text)
+    normal = F.regexp_replace(F.translate(spelled, UPPER, LOWER), NOT_IN_SENTENCES, " ")
     sentences = F.filter(F.split(normal, SENTENCE_END, -1), lambda s: s.rlike(KEYWORD))
 
-    def identifier(sentence: Column) -> Column:
-        first = F.when(sentence.rlike(SENTENCES[0][1]), SENTENCES[0][0])
-        for name, pattern in SENTENCES[1:]:
-            first = first.when(sentence.rlike(pattern), name)
-        return first
+    def identifiers(sentence: Column) -> Column:
+        # What a pattern has matched becomes its name in capitals, which no later pattern can match or reach over.
+        for name, pattern in _ordered():
+            sentence = F.regexp_replace(sentence, pattern.replace(".*", "[^<>]*"), f"<{name.upper()}>")
+        found = F.array_distinct(F.regexp_extract_all(sentence, F.lit("<([A-Z0-9_]+)>"), F.lit(1)))
+        hint = F.array(F.lit(HINT.upper()))
+        return F.when(F.size(found) > 0, found).when(sentence.rlike(dict(SENTENCES)[HINT]), hint).otherwise(F.slice(hint, 1, 0))
 
-    known = F.filter(F.transform(sentences, identifier), lambda s: s.isNotNull())
+    known = F.transform(F.flatten(F.transform(sentences, identifiers)), F.lower)
     return F.when(text.rlike(KEYWORD_IN_TEXT), known).otherwise(F.array().cast("array<string>"))
 
 
@@ -148,8 +189,8 @@ def scan(docs: DataFrame, column: str = "text") -> DataFrame:
     """``docs`` with ``sentence_ids`` and ``licences`` (arrays of strings); input columns of these names are replaced.
 
     Null and empty texts have none. Rows are independent: no shuffle, equal rows give equal results, an empty table no
-    rows. A sentence may run over lines; comment signs and other punctuation don't matter. A licence that is only hinted at
-    is ``Unknown``.
+    rows. A sentence may run over lines, but an SPDX tag is one of its own; comment signs and other punctuation don't matter. A
+    sentence may name several licences. A licence that is only hinted at, such as an SPDX identifier not listed, is ``Unknown``.
     """
     text = F.coalesce(F.col(column).cast("string"), F.lit(""))
     return docs.withColumn("sentence_ids", sentence_ids(text)).withColumn("licences", licences_of(F.col("sentence_ids")))

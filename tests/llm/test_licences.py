@@ -54,3 +54,23 @@ def test_known_texts_nulls_copies_and_clashing_names(spark):
     assert got == [(i, CASES[i or 0][1]) for i, _ in rows]
     assert [plain(t) for t, _ in CASES] == [want for _, want in CASES]
     assert licences.scan(docs.limit(0)).collect() == []
+
+
+SEVERAL = [
+    ("SPDX-License-Identifier: MIT OR Apache-2.0", ["spdx_mit", "spdx_apache2"], ["Apache-2.0", "MIT"]),
+    ("# SPDX-License-Identifier: (MIT AND Zlib) OR GPL-2.0-only WITH Classpath-exception-2.0 OR ISC\n", ["spdx_mit", "zlib", "spdx_gpl2", "spdx_isc"], ["MIT", "GPL-2.0", "ISC", "Zlib"]),
+    ("licensed under the Apache License, Version 2.0 or the MIT License", ["apache2", "mit"], ["Apache-2.0", "MIT"]),
+    ("Licensed under the MIT License or the Apache License, Version 2.0", ["mit", "apache2"], ["Apache-2.0", "MIT"]),
+    ("foo: MIT License\nbar: ISC License\nbaz: GNU General Public License version 2\nqux: Zlib License or later", ["mit", "isc", "gpl2", "zlib"], ["MIT", "GPL-2.0", "ISC", "Zlib"]),
+    ("a SPDX-License-Identifier: MIT\n// SPDX-License-Identifier: AGPL-3.0-only\nSPDX-License-Identifier: BSL-1.0\nThe MIT License", ["spdx_mit", "agpl3", "boost", "mit"], ["MIT", "AGPL-3.0", "BSL-1.0"]),
+    ("SPDX-License-Identifier: GPL-2.0-or-later", ["spdx_gpl2"], ["GPL-2.0"]),
+    ("SPDX-License-Identifier: EUPL-1.2", ["some_licence"], ["Unknown"]),
+    ("SPDX-License-Identifier: CC-BY-SA-4.0", ["cc_by_sa"], ["CC-BY-SA"]),
+    ("SPDX-License-Identifier: NOASSERTION", [], []),
+    ("GNU General Public License version 3 or the GNU Lesser General Public License", ["gpl3", "lgpl"], ["LGPL", "GPL-3.0"]),
+]
+
+
+def test_all_licences_of_a_sentence(spark):
+    out = licences.scan(spark.createDataFrame([(t,) for t, _, _ in SEVERAL], "text string")).collect()
+    assert [(r.text, r.sentence_ids, r.licences) for r in out] == SEVERAL
