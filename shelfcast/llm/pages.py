@@ -20,7 +20,7 @@ MARKUP = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>",
     re.S,
 )
-ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+ATTRIBUTE = re.compile(r"([^\s\"'=<>/]++)\s*+(?:=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?+")
 TOKENS = re.compile(r"[a-z]+")
 
 #: Elements whose content is text of its own kind, up to their end tag.
@@ -52,26 +52,66 @@ LABELS = {
     "promo", "recommended", "related", "replies", "respond", "share", "sharing", "sidebar", "signup", "social",
     "sponsor", "sponsored", "subscribe", "toolbar", "widget",
 }
+#: Of these, words that also name parts of an article: alone or beside other words they mark only what is mostly links.
+ORDINARY = {
+    "ad", "banner", "notice", "notices", "overlay", "recommended", "related", "respond", "share", "sharing", "social",
+}
+#: An id is often the anchor of a section. Inside an article only these mark surroundings, as the whole id.
+OWN_ID = {
+    "adsense", "breadcrumb", "breadcrumbs", "comments", "disqus", "masthead", "nav", "navbar", "pager", "pagination",
+    "sidebar", "toolbar",
+}
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+#: Elements that hold text; a label drops them only as a whole class.
+TEXTUAL = HEADINGS | {
+    "a", "abbr", "b", "blockquote", "caption", "cite", "code", "dd", "dfn", "dt", "em", "figcaption", "i", "li", "mark", "p", "pre",
+    "q", "s", "small", "span", "strong", "sub", "summary", "sup", "td", "th", "tr", "u",
+}
+LINKED = 0.5  # share of linked characters from which a doubtful element is surroundings
 ARTICLES = {"article", "main"}
 FRAME = {"html", "body"} | ARTICLES
 #: Words that mark an article element as a comment or a teaser instead.
 NO_ARTICLE = {"ad", "advert", "comment", "promo", "recommended", "related", "replies", "reply", "sponsored", "teaser"}
 
 
-def _dropped(tag: str, attributes: str, inside_article: bool) -> bool:
+def _marked(tag: str, name: str, value: str, inside_article: bool) -> float:
+    """How far a class or id marks an element as surroundings: 1 surely, 0.5 if it is mostly links, 0 not."""
+    names = [TOKENS.findall(n) for n in value.lower().split()]
+    words = {w for n in names for w in n}
+    if tag in ARTICLES:
+        return float(bool(words & NO_ARTICLE))
+    if not inside_article and "header" in words and tag not in TEXTUAL:
+        return 1.0
+    if not words & LABELS:
+        return 0.0
+    whole = {n[0] for n in names if len(n) == 1}
+    if tag in TEXTUAL:
+        sure = name == "class" and whole & (LABELS - ORDINARY | {"ad"})
+        return 1.0 if sure else 0.0 if tag in HEADINGS else 0.5
+    several = any(len(n) > 1 and LABELS.issuperset(n) for n in names)
+    if name == "id":
+        sure = whole & OWN_ID if inside_article else several or whole & LABELS
+    else:
+        sure = several or whole & (LABELS - {"notice", "notices"}) or words & (LABELS - ORDINARY)
+        sure = sure or not inside_article and words & LABELS - {"notice", "notices"}
+    return 1.0 if sure else 0.5
+
+
+def _dropped(tag: str, attributes: str, inside_article: bool) -> float:
+    """1 if an element is surely not part of the article, 0.5 if only its links can tell, 0 if nothing marks it."""
     if tag in DROPPED or tag == "header" and not inside_article:
-        return True
+        return 1.0
     if tag in ("html", "body") or "=" not in attributes:
-        return False
-    labels = NO_ARTICLE if tag in ARTICLES else LABELS
+        return 0.0
+    most = 0.0
     for name, *values in ATTRIBUTE.findall(attributes):
-        words = set(TOKENS.findall("".join(values).lower()))
-        if name.lower() == "role":
-            if words & ROLES and tag not in ARTICLES:
-                return True
-        elif words & labels or "header" in words and not inside_article and tag not in ARTICLES:
-            return True
-    return False
+        name, value = name.lower(), "".join(values)
+        if name == "role":
+            if set(TOKENS.findall(value.lower())) & ROLES and tag not in ARTICLES:
+                return 1.0
+        elif name in ("class", "id"):
+            most = max(most, _marked(tag, name, value, inside_article))
+    return most
 
 
 class Tree:
@@ -83,7 +123,24 @@ class Tree:
         self.chars, self.linked = [0], [0]  # of the text directly inside, and of that inside links
         self.links, self.articles = [0], [0]  # open links and articles, at each element
         self.blocks: list[list[tuple[int, str]]] = [[]]
+        self.doubtful: list[int] = []  # elements that a label marks as surroundings if they are mostly links
         self._read(page)
+        self.gone = [False] * len(self.tag)
+        if self.doubtful:
+            self._drop_linked()
+
+    def _drop_linked(self) -> None:
+        chars, linked = list(self.chars), list(self.linked)
+        for i in range(len(self.tag) - 1, 0, -1):
+            chars[self.parent[i]] += chars[i]
+            linked[self.parent[i]] += linked[i]
+        for i in self.doubtful:
+            self.gone[i] = linked[i] > 0 and linked[i] >= LINKED * chars[i]
+        for i in range(1, len(self.tag)):
+            if self.gone[self.parent[i]]:
+                self.gone[i] = True
+            if self.gone[i]:
+                self.chars[i] = self.linked[i] = 0
 
     def _text(self, at: int, raw: str) -> None:
         text = html.unescape(raw) if "&" in raw else raw
@@ -153,11 +210,14 @@ class Tree:
                 self._open(stack, tag)
                 if tag in BLOCK:
                     self._break()
-                if _dropped(tag, attributes, self.articles[stack[-1]] > 0):
+                dropped = _dropped(tag, attributes, self.articles[stack[-1]] > 0)
+                if dropped == 1:
                     self._break()
                     if not attributes.endswith("/"):
                         skipped.append(tag)
                     continue
+                if dropped:
+                    self.doubtful.append(len(self.tag))
                 self.tag.append(tag)
                 self.parent.append(stack[-1])
                 self.chars.append(0)
@@ -195,7 +255,8 @@ def densities(tree: Tree) -> tuple[list[float], list[float]]:
     """
     n = len(tree.tag)
     chars, linked = list(tree.chars), list(tree.linked)
-    tags, links = [1] * n, [int(t == "a") for t in tree.tag]
+    tags = [int(not gone) for gone in tree.gone]
+    links = [int(t == "a" and not gone) for t, gone in zip(tree.tag, tree.gone)]
     for i in range(n - 1, 0, -1):
         p = tree.parent[i]
         chars[p] += chars[i]
@@ -205,7 +266,7 @@ def densities(tree: Tree) -> tuple[list[float], list[float]]:
     share = linked[0] / max(chars[0], 1)
     density = []
     for c, lc, t, lt in zip(chars, linked, tags, links):
-        value = c / t
+        value = c / max(t, 1)
         if c and linked[0]:
             base = math.log(c / max(c - lc, 1) * lc + share * c + math.e)
             value *= max(0.0, math.log(max(c / max(lc, 1) * t / max(lt, 1), 1.0))) / max(math.log(base), 1e-9)
@@ -221,7 +282,8 @@ def content_roots(tree: Tree) -> set[int]:
 
     The element with the largest density sum is the core. The smallest density on its path to the body is the threshold:
     in every branch that reaches it, the subtree with the largest sum belongs to the article too. A core inside an article
-    or main element stands for that whole element.
+    or main element stands for that whole outermost element; besides it, other article and main elements that reach the
+    threshold belong to the article, whole.
     """
     density, sums = densities(tree)
     n = len(tree.tag)
@@ -235,9 +297,10 @@ def content_roots(tree: Tree) -> set[int]:
     while tree.parent[path[-1]] >= 0:
         path.append(tree.parent[path[-1]])
     outer = [i for i in path if tree.tag[i] in ARTICLES]
-    if outer:
-        return {outer[-1]}
     threshold = min(density[i] for i in path)
+    if outer:
+        others = (i for i in range(1, n) if tree.tag[i] in ARTICLES and not tree.articles[tree.parent[i]])
+        return {outer[-1]} | {i for i in others if density[i] >= threshold and density[i] > 0}
     return {core} | {best[i] for i in range(1, n) if density[i] >= threshold and density[i] > 0}
 
 
@@ -249,7 +312,7 @@ def main_text(page: str | None) -> str:
     roots = content_roots(tree)
     inside = [0 in roots]
     for i in range(1, len(tree.tag)):
-        inside.append(i in roots or inside[tree.parent[i]])
+        inside.append((i in roots or inside[tree.parent[i]]) and not tree.gone[i])
     lines = (" ".join("".join(text for at, text in block if inside[at]).split()) for block in tree.blocks)
     return "\n".join(line for line in lines if line)
 

@@ -54,6 +54,25 @@ def test_unclosed_surroundings_do_not_swallow_the_article():
     assert pages.main_text(f"<article><div class='ad'><p>buy<p>now</div><p>{LONG}</article>") == flat(LONG)
 
 
+@pytest.mark.parametrize("holder", ["article", "main", "div"])
+def test_labels_that_name_parts_of_an_article(holder):
+    parts = [
+        f'<section id="related-work"><p>One {LONG}</p></section>', f'<h2 id="market-share"><a href="#market-share">Market share</a></h2><p>{LONG}</p>',
+        f'<p class="notice">Two {LONG}</p>', f'<section id="ad-hoc-networks"><p>Three {LONG}</p></section>',
+        f'<div id="social-history"><p>Four {LONG}</p></div>', f'<div data-id="ad" title="id=ad"><p>Five {LONG}</p></div>',
+    ]
+    around = f'<div class="share"><a href=1>Mail</a></div><div class="share-box"><a href=1>Post</a></div><div class="ad">{LONG}</div>'
+    text = pages.main_text(f"<body><{holder}>{''.join(parts)}{around}</{holder}></body>")
+    starts = ["One", "Market share", "Rivers", "Two", "Three", "Four", "Five"]
+    assert [line[: len(s)] for line, s in zip(text.split("\n"), starts, strict=True)] == starts
+
+
+def test_sibling_articles_that_reach_the_threshold():
+    teaser = "<article><a href=1>" + "Read on. " * 5 + "</a></article>"
+    page = f"<body><article><p>First {LONG}<p>{LONG}</article><article><p>Second {LONG}</article>{teaser}<nav><a href=1>x</a></nav></body>"
+    assert pages.main_text(page).split("\n") == [flat("First " + LONG), flat(LONG), flat("Second " + LONG)]
+
+
 @pytest.mark.parametrize(
     "page", ["", "plain words", "<", "<p", "<!-- open", "<p>a", "</p></div>", "<a href='x>y", "<script>", "a<br>b", "<p>" * 3000]
 )
