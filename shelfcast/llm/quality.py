@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,8 +19,8 @@ SIZES = (3, 4, 5)  # bytes of an n-gram
 DIMENSION = 16
 EPOCHS = 6
 RATE, VECTOR_RATE = 0.2, 40.0  # a vector moves by its share of the document, so it needs larger steps
-TRAIN_ROWS = 3000  # labelled documents that the model is fitted on, at most
-TRAIN_BYTES = 16 << 20  # and bytes of their texts
+TRAIN_ROWS = 4000  # labelled documents that the model is fitted on, at most
+TRAIN_BYTES = 16 << 20  # and of their texts, where a text counts with BUCKETS bytes at most, as its n-grams fill no more buckets
 THRESHOLD = 0.3
 PART = 1 << 20  # bytes hashed at once
 WORD_BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -87,6 +87,32 @@ def shares(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     return index.astype(np.int32), (count[index] / max(1, count.sum())).astype(np.float32)
 
 
+def packed(text: str | None) -> tuple[bytes, bytes, bool]:
+    """The different buckets of a text (two bytes each) and their counts, in one byte each if all fit, else in four."""
+    count = np.zeros(BUCKETS, np.int64)
+    for part in buckets(text):
+        count += np.bincount(part, minlength=BUCKETS)
+    index = np.flatnonzero(count)
+    small = not len(index) or int(count.max()) < 256
+    return index.astype(np.uint16).tobytes(), count[index].astype(np.uint8 if small else np.uint32).tobytes(), small
+
+
+class Rows(Sequence):
+    """Packed documents, as the pairs of ``shares`` only when they are read."""
+
+    def __init__(self, data: list[tuple[bytes, bytes, bool]]) -> None:
+        self.data = data
+
+    def __len__(self) -> int:
+        return len(self.data)
+
+    def __getitem__(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        index, count, small = self.data[i]
+        count = np.frombuffer(count, np.uint8 if small else np.uint32)
+        total = count.sum(dtype=np.int64)
+        return np.frombuffer(index, np.uint16).astype(np.int32), (count / max(1, total)).astype(np.float32)
+
+
 @dataclass
 class Model:
     """What scoring needs: with a linear output, a bucket counts with one number, its vector times the output weights."""
@@ -103,7 +129,7 @@ class Model:
 
 
 def train(
-    rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, *, dimension: int = DIMENSION, epochs: int = EPOCHS, seed: int = 5
+    rows: Sequence[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, *, dimension: int = DIMENSION, epochs: int = EPOCHS, seed: int = 5
 ) -> Model:
     """Stochastic gradient descent over documents (buckets, shares) in random order, with a falling rate.
 
@@ -140,7 +166,8 @@ def held_out(doc_id: str = "doc_id"):
 def fit(docs: DataFrame, labels: DataFrame, *, target: str = "quality", rows: int = TRAIN_ROWS, size: int = TRAIN_BYTES) -> Model:
     """A model from the labelled documents that are not held out.
 
-    At most ``rows`` of them, chosen by a hash of the id, and of these as many as have ``size`` bytes together. Labels
+    At most ``rows`` of them, chosen by a hash of the id, and of these, in that order, all that still fit into ``size``
+    bytes together, where a text counts with ``BUCKETS`` bytes at most: one that does not fit shuts out no other. Labels
     without id or value are left out; of repeated rows of an id one is used. Their n-grams are counted on the executors.
     """
     usable = labels.where(F.col("doc_id").isNotNull() & F.col(target).isin(0, 1) & ~held_out())
@@ -149,20 +176,27 @@ def fit(docs: DataFrame, labels: DataFrame, *, target: str = "quality", rows: in
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     # bounded by ``rows``
     found = staged(texts.join(F.broadcast(staged(chosen, "labels")), "doc_id").dropDuplicates(["doc_id"]), "labelled")
-    lengths = found.select(order.alias("h"), F.coalesce(F.octet_length("text"), F.lit(0)).alias("n")).toPandas().sort_values("h")
-    taken = lengths["h"][lengths["n"].cumsum() <= size]
-    found = found.where(order <= int(taken.max())) if len(taken) else found.limit(0)
+    lengths = found.select("doc_id", order.alias("h"), F.coalesce(F.octet_length("text"), F.lit(0)).alias("n")).toPandas().sort_values(["h", "doc_id"])
+    taken, used = [], 0
+    for doc_id, n in zip(lengths["doc_id"].tolist(), lengths["n"].tolist()):
+        cost = min(n, BUCKETS)
+        if used + cost <= size:
+            taken.append((doc_id,))
+            used += cost
+    kept = docs.sparkSession.createDataFrame(taken, "doc_id long")
+    found = found.join(F.broadcast(kept), "doc_id", "left_semi")  # bounded by ``rows``
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = [shares(text) for text in batch["text"]]
+            out = [packed(text) for text in batch["text"]]
             yield pd.DataFrame(
-                {"doc_id": batch["doc_id"], "label": batch["label"], "index": [i.tobytes() for i, _ in out], "share": [s.tobytes() for _, s in out]}
-            )
+                {"doc_id": batch["doc_id"], "label": batch["label"], "index": [i for i, _, _ in out],
+                 "count": [c for _, c, _ in out], "small": [b for _, _, b in out]}
+            )
 
-    data = found.mapInPandas(counted, "doc_id long, label int, index binary, share binary").toPandas().sort_values("doc_id")
-    pairs = [(np.frombuffer(i, np.int32), np.frombuffer(s, np.float32)) for i, s in zip(data["index"], data["share"])]
-    return train(pairs, data["label"].to_numpy())
+    data = found.mapInPandas(counted, "doc_id long, label int, index binary, count binary, small boolean").toPandas()
+    data = data.sort_values("doc_id")
+    return train(Rows(list(zip(data["index"], data["count"], data["small"]))), data["label"].to_numpy())
 
 
 def score(docs: DataFrame, model: Model, column: str = "text") -> DataFrame:

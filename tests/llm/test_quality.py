@@ -58,3 +58,24 @@ def test_nulls_copies_ties_clashing_names_and_empty_tables(spark):
     assert quality.score(docs.limit(0), model).collect() == []
     blank = quality.fit(docs, labels.limit(0))
     assert blank.score("anything") == quality.train([], np.zeros(0, int)).score("") == 0.5
+
+
+def test_long_texts_shut_out_no_others(spark, monkeypatch):
+    rows = [(i, "fine words here" if i % 2 else "### !!! ###") for i in range(60)]
+    ids = [r.doc_id for r in spark.range(60).withColumnRenamed("id", "doc_id").where(~quality.held_out()).orderBy(F.xxhash64("doc_id")).collect()]
+    long = ids[0]
+    rows[long] = (long, rows[long][1] * 20_000)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"))
+    seen, train = [], quality.train
+    monkeypatch.setattr(quality, "train", lambda rows, labels: seen.append(len(rows)) or train(rows, labels))
+    quality.fit(docs, labels, size=4000)
+    quality.fit(docs, labels, size=quality.BUCKETS + 4000)
+    assert seen == [len(ids) - 1, len(ids)]
+
+
+def test_packed_rows_are_the_shares():
+    texts = ["a fine day, a fine day", None, "x " * 1000, "y" * 300]
+    for got, text in zip(quality.Rows([quality.packed(t) for t in texts]), texts):
+        index, share = quality.shares(text)
+        assert (got[0] == index).all() and (got[1] == share).all()
