@@ -88,10 +88,10 @@ def mix(
     seed, doc_id, text and source, so it is the same wherever the row is and however often it is computed. Rows equal in
     these three get equal counts. Null text has size 0, null source is a source of its own, an empty table gives no rows.
 
-    The shuffle sends each copy to a partition by its random key, so no source and no group of copies can gather in
-    one; only one row per source is joined to the documents.
+    The shuffle sends each copy to a partition by its random key, its text and its source, so no source and no group of copies
+    can gather in one, except that equal rows share a partition for each copy number; only one row per source is joined to the documents.
     """
-    own = {"copy", "mix_key", "_source", "_rate", "_mass", "_copies"}
+    own = {"copy", "mix_key", "_source", "_rate", "_mass", "_copies", "_place"}
     docs = docs.drop(*own & set(docs.columns))
     columns = docs.columns
     # Stored, so that Spark knows its size: a few sources are broadcast, very many are joined by key.
@@ -109,7 +109,9 @@ def mix(
     )
     key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.lit("order"), F.col("doc_id").cast("string"), F.col("copy")))
     keyed = copies.withColumn("mix_key", key)
-    return keyed.repartition("mix_key").sortWithinPartitions("mix_key")
+    # Rows without id, or of one id, share a key: their text and source tell them apart.
+    place = F.xxhash64("mix_key", "text", "source")
+    return keyed.withColumn("_place", place).repartition("_place").sortWithinPartitions("mix_key", "_place").drop("_place")
 
 
 def op1_mix(spark: SparkSession, root: str) -> DataFrame:

@@ -142,3 +142,14 @@ def test_fingerprints_of_long_texts_are_cut_in_blocks(monkeypatch):
     whole = simhash.fingerprint(text)
     monkeypatch.setattr(simhash, "HASH_BLOCK", 7)
     assert simhash.fingerprint(text) == whole
+
+
+def test_rows_without_id_are_dealt_out(spark):
+    docs = spark.createDataFrame([(None, f"text {i} " * 3, "s") for i in range(400)], "doc_id long, text string, source string")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = mixing.mix(docs)
+        parts = out.where("copy = 0").selectExpr("spark_partition_id() AS part").distinct().count()
+        assert parts > 1 and "_place" not in out.columns
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
