@@ -2,7 +2,19 @@
 
 from __future__ import annotations
 
-from shelfcast.llm import decontamination, licences, mixing, packing, pages, pii, quality, repeats, repetition, simhash
+from shelfcast.llm import (
+    decontamination,
+    divergence,
+    licences,
+    mixing,
+    packing,
+    pages,
+    pii,
+    quality,
+    repeats,
+    repetition,
+    simhash,
+)
 
 QUERIES = {
     "op1_poisson_mixing": mixing.op1_mix,
@@ -15,10 +27,12 @@ QUERIES = {
     "op8_licence_sentences": licences.op8_licences,
     "op9_subword_quality": quality.op9_quality,
     "op10_column_repeats": repeats.op10_repeats,
+    "op11_divergence_audit": divergence.op11_divergence,
 }
 
 ORACLES = {
     "op1_poisson_mixing": mixing.OP1_SQL,
     "op2_suffix_repetition": repetition.OP2_SQL,
     "op8_licence_sentences": licences.OP8_SQL,
+    "op11_divergence_audit": divergence.OP11_SQL,
 }
