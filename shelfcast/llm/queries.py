@@ -14,6 +14,7 @@ from shelfcast.llm import (
     repeats,
     repetition,
     simhash,
+    whitening,
 )
 
 QUERIES = {
@@ -28,6 +29,7 @@ QUERIES = {
     "op9_subword_quality": quality.op9_quality,
     "op10_column_repeats": repeats.op10_repeats,
     "op11_divergence_audit": divergence.op11_divergence,
+    "op13_lanczos_whitening": whitening.op13_whitening,
 }
 
 ORACLES = {
