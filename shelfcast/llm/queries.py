@@ -5,6 +5,7 @@ from __future__ import annotations
 from shelfcast.llm import (
     decontamination,
     divergence,
+    language,
     licences,
     mixing,
     packing,
@@ -29,6 +30,7 @@ QUERIES = {
     "op9_subword_quality": quality.op9_quality,
     "op10_column_repeats": repeats.op10_repeats,
     "op11_divergence_audit": divergence.op11_divergence,
+    "op12_ftrl_language": language.op12_language,
     "op13_lanczos_whitening": whitening.op13_whitening,
 }
 

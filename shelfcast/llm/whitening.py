@@ -249,9 +249,9 @@ def whiten(rows: DataFrame, column: str = "embedding", *, name: str = "vec_id",
     """
     kept = whole_numbers(rows, column).select(F.col(name), "x")
     model = fit(kept, components=components)
-    schema = T.StructType().add(name, rows.schema[name].dataType).add("component", "int").add("n", "long")
-    for column_name, kind in (("deviation", "long"), ("whitened", "double"), ("explained", "double"), ("identity_error", "double")):
-        schema = schema.add(column_name, kind)
+    schema = T.StructType().add(name, rows.schema[name].dataType).add("component", T.IntegerType()).add("n", T.LongType()).add("deviation", T.LongType())
+    for number in ("whitened", "explained", "identity_error"):
+        schema.add(number, T.DoubleType())
     if model is None or not model.vectors.shape[1]:
         return rows.sparkSession.createDataFrame([], schema)
     m = model.vectors.shape[1]

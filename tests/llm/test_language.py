@@ -1,0 +1,135 @@
+import math
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from shelfcast.llm import language
+
+SCHEMA = "doc_id long, text string, lang string"
+
+
+def plain_buckets(text):
+    """Bucket counts, n-gram by n-gram."""
+    codes = "".join(c if ord(c) > 127 or "a" <= c <= "z" else " " for c in (text or "").lower())
+    codes = " " + " ".join(w for w in codes.split(" ") if w)
+    codes += " " * (len(codes) > 1)
+    out = Counter()
+    for n in range(1, language.LONGEST + 1):
+        for i in range(len(codes) - n + 1):
+            gram = codes[i : i + n]
+            if (n == 1 and gram == " ") or " " in gram[1:-1]:
+                continue
+            value = 0
+            for c in gram:
+                value = (value * 0x100000001B3 + ord(c) + 1) % 2**64
+            mixed = (value + n) * int(language.MIX) % 2**64
+            out[((mixed ^ (mixed >> 29)) * int(language.MIX) % 2**64) >> 48] += 1
+    return dict(out)
+
+
+TEXTS = [None, "", "  ", "a", "Ab, CD-e!", "Été 日本語 x", "A  b\n\tc1d ", "über " * 30, "no break", "İstanbul"]
+
+
+@pytest.mark.parametrize("part", [1 << 20, 80, 7])
+def test_counts_against_one_by_one(monkeypatch, part):
+    monkeypatch.setattr(language, "PART", part)
+    for text in TEXTS:
+        index, count = language.counted(text)
+        assert dict(zip(index.tolist(), count.tolist())) == plain_buckets(text), text
+        assert (np.diff(index) > 0).all()
+
+
+def test_held_out_accuracy_and_calibration(spark, data_dir):
+    true = {r.doc_id: r.lang for r in spark.read.parquet(f"{data_dir}/documents.parquet").select("doc_id", "lang").collect()}
+    found = language.op12_language(spark, data_dir).collect()
+    assert sorted(r.doc_id for r in found) == sorted(true)
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) and 0 <= r.score <= 1 for r in found)
+    held = [r for r in found if r.held_out]
+    right = np.array([r.lang_pred == true[r.doc_id] for r in held])
+    assert len(held) > 200 and right.mean() >= 0.98
+    assert abs(np.mean([r.score for r in held]) - right.mean()) < 0.05
+
+
+def corpus(n=240):
+    rng = random.Random(5)
+    words = {"en": ["the", "river", "stone", "with", "thing"], "de": ["der", "fluss", "stein", "über", "nicht"], "xx": ["日本", "語文", "東京"]}
+    return [(i, " ".join(rng.choices(words[lang], k=6)), lang) for i in range(n) for lang in [rng.choice(sorted(words))]]
+
+
+def test_learns_nothing_from_held_out_rows_or_other_columns(spark):
+    docs = spark.createDataFrame(corpus(), SCHEMA)
+    changed = docs.select(
+        "doc_id",
+        F.when(language.held_out(), F.lit("zzz zzz")).otherwise(F.col("text")).alias("text"),
+        F.when(language.held_out(), F.lit("qq")).otherwise(F.col("lang")).alias("lang"),
+    ).withColumns({"h": F.lit(1), "n": F.lit(2), "place": F.lit(3), "bucket": F.lit("b"), "source": F.lit(None)})
+    one, two = language.fit(docs), language.fit(changed.repartition(7))
+    assert one.languages == two.languages == ["de", "en", "xx"]
+    for a, b in ((one.idf, two.idf), (one.place, two.place), (one.weight, two.weight), (one.bias, two.bias)):
+        assert (a == b).all()
+    assert one.temperature == two.temperature
+    assert one.predict("the stone")[0] == "en" and one.predict("東京")[0] == "xx"
+    assert 0 < (one.weight != 0).mean() < 1 and len(one.weight) < language.BUCKETS
+
+
+def test_document_frequencies_cover_every_row(spark):
+    texts = [t for _, t, _ in corpus(50)] + TEXTS + ["the river"] * 40
+    found, n = language.document_frequencies(spark.createDataFrame([(t,) for t in texts], "text string").repartition(6))
+    expected = Counter(b for t in texts for b in plain_buckets(t))
+    assert n == len(texts) and {i: found[i] for i in np.flatnonzero(found)} == dict(expected)
+
+
+def test_nulls_copies_long_texts_and_clashing_names(spark):
+    rows = corpus() + [(1000, None, "en"), (1001, "", "de"), (1002, "12 ½ ² !?", "en"), (None, "the river", None), (None, "the river", "en")]
+    rows += [(2000 + i, "der stein", "de") for i in range(200)] + [(5000, "the stone " * 100_000, "en"), (5001, "stein " * 50_000, "de")]
+    docs = spark.createDataFrame(rows, SCHEMA).withColumns({"score": F.lit("old"), "lang_pred": F.lit(1)})
+    out = language.identify(docs, language.fit(docs))
+    assert out.columns == ["doc_id", "text", "lang", "lang_pred", "score"] and out.count() == len(rows)
+    found = {r.doc_id: r for r in out.collect()}
+    for i in (1000, 1001, 1002):
+        assert (found[i].lang_pred, found[i].score) == ("und", 0.0)
+    assert found[None].lang_pred == found[5000].lang_pred == "en" and found[2000].lang_pred == found[5001].lang_pred == "de"
+    assert language.identify(docs.limit(0), language.fit(docs)).collect() == []
+
+
+def test_small_and_empty_training_sets(spark):
+    docs = spark.createDataFrame(corpus(60), SCHEMA)
+    blank = language.fit(docs.withColumn("lang", F.lit(None).cast("string")))
+    assert blank.predict("the river") == ("und", 0.0) and language.fit(docs.limit(0)).languages == []
+    single = language.fit(docs.withColumn("lang", F.lit("en")))
+    assert single.predict("anything") == ("en", 1.0)
+    few = language.fit(docs, rows=12)
+    assert few.languages == ["de", "en", "xx"]
+    assert language.fit(docs, ngrams=0).languages == []
+
+
+def test_long_texts_shut_out_no_others(spark, monkeypatch):
+    rows = [(i, f"the river {'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10]}", "en") for i in range(60)]
+    ids = [r.doc_id for r in spark.createDataFrame(rows, SCHEMA).where(~language.held_out()).collect()]
+    rows[ids[3]] = (ids[3], "long words " * 9000, "en")
+    seen, train = [], language.train
+    monkeypatch.setattr(language, "train", lambda rows, *a: seen.append(len(rows)) or train(rows, *a))
+    language.fit(spark.createDataFrame(rows, SCHEMA), ngrams=10_000)
+    assert seen == [len(ids) - 1 - (len(ids) - 1) // language.CALIBRATION]
+
+
+def test_penalty_and_temperature():
+    rng = np.random.default_rng(1)
+    rows, labels = [], []
+    for _ in range(300):
+        label = int(rng.integers(2))
+        index = np.array([label, *sorted(rng.choice(np.arange(2, 400), 5, replace=False))])
+        rows.append((index, np.full(6, 6**-0.5, np.float32)))
+        labels.append(label)
+    weight, _ = language.train(rows, np.array(labels), 2)
+    assert weight[0, 0] > 0 > weight[0, 1] and weight[1, 1] > 0 > weight[1, 0]
+    assert np.abs(weight[:2]).min() > 3 * np.abs(weight[2:400]).max() and (weight[400:] == 0).all()
+    logits = np.log([[0.9, 0.1]] * 1000) * 3
+    truth = np.array([0] * 900 + [1] * 100)
+    assert language.temperature(logits, truth) == pytest.approx(3, rel=0.02)
+    assert language.temperature(np.zeros((0, 2)), truth[:0]) == 1.0
+    assert math.isfinite(language.temperature(np.array([[50.0, 0.0]] * 5), truth[:5]))
