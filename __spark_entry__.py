@@ -16,9 +16,11 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 import oracle  # noqa: E402
 from shelfcast.operators import dashboard, drivers, projection, quality, scenarios  # noqa: E402
 from shelfcast.plans import cycle, validation  # noqa: E402
+from shelfcast.functions import sketches  # noqa: E402
 from shelfcast.functions.prefix_sum import with_rank  # noqa: E402
 from shelfcast.sources import contracts, starschema  # noqa: E402
-from shelfcast.sources.tables import PlanningTables, create_table, replace_table, stage_root  # noqa: E402
+from shelfcast.sources.commits import drop_table, replace_table  # noqa: E402
+from shelfcast.sources.tables import PlanningTables, create_table, materialise, stage_root  # noqa: E402
 
 try:
     import corpus_pipeline
@@ -138,12 +140,12 @@ def _cycle_report(spark: SparkSession, root: str) -> DataFrame:
 def _refresh_results(spark: SparkSession, root: str) -> DataFrame:
     """All results of a refresh, from its stored tables: one row of text for each row."""
     stored = _stored_cycle(spark, root, cycle.refresh, history_months=CALENDAR.history_months)
+    return quality.union_all(quality.label(_as_text(df), Result=name) for name, df in stored.results().items())
 
-    def as_text(df: DataFrame) -> DataFrame:
-        values = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in sorted(set(df.columns) - {"Cycle_Date"})]
-        return df.select(F.concat_ws("|", *values).alias("Row_Values"))
 
-    return quality.union_all(quality.label(as_text(df), Result=name) for name, df in stored.results().items())
+def _as_text(df: DataFrame) -> DataFrame:
+    values = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in sorted(set(df.columns) - {"Cycle_Date"})]
+    return df.select(F.concat_ws("|", *values).alias("Row_Values"))
 
 
 def _stored_rows(spark: SparkSession, root: str) -> DataFrame:
@@ -160,10 +162,92 @@ def _stored_rows(spark: SparkSession, root: str) -> DataFrame:
     }
     counts = [(sink, df.count()) for sink, df in stored.items()]
     for name in ("analysis", "report", "clean", "stockouts"):
-        spark.sql(f"DROP TABLE {name}_{run}")
+        drop_table(spark, f"{name}_{run}")
     return spark.createDataFrame(counts, "Sink string, Stored_Rows bigint")
 
 
+def _stored_contents(spark: SparkSession, root: str) -> DataFrame:
+    """What catalog tables hold after they were created, replaced by a query on themselves, and replaced with other columns."""
+    t = starschema.planning_tables(spark, root, CALENDAR)
+    run = uuid.uuid4().hex
+    created = create_table(quality.dedupe_exact(t.actuals), f"clean_{run}")
+    report = replace_table(_report(t), f"report_{run}", buckets=8)
+    coverage = replace_table(report, f"coverage_{run}")
+    coverage = replace_table(coverage.where("Remaining_Shortfall_Units > 0"), f"coverage_{run}")
+    narrow = replace_table(report.select("Material_ID", "Site_ID", "Stockout_Units"), f"report_{run}")
+    stored = {"created": created, "replaced by itself": coverage, "other columns": narrow}
+    rows = quality.union_all(quality.label(_as_text(df), Sink=sink) for sink, df in stored.items())
+    rows = materialise(rows, "stored-contents")
+    for name in ("clean", "report", "coverage"):
+        drop_table(spark, f"{name}_{run}")
+    return rows
+
+
+def _without_some_sites(df: DataFrame) -> DataFrame:
+    return df.withColumn("Site_ID", F.when(~F.col("Material_ID").endswith("7"), F.col("Site_ID")))
+
+
+def _reporting_table(t: PlanningTables) -> DataFrame:
+    """The two-key join of two stored tables in which some rows have no site."""
+    profile = materialise(_profile(t), "profile")
+    final = materialise(_without_some_sites(cycle.stockouts_of(profile, t.materials)), "stockouts")
+    coverage = materialise(_without_some_sites(scenarios.supply_coverage(profile)), "coverage")
+    return drivers.reporting_table(final, coverage)
+
+
+def _coverage_of_list(t: PlanningTables) -> DataFrame:
+    """Supply coverage of the materials that a stored list names: here those that take over 30 days to get."""
+    profile = _profile(t)
+    final = materialise(cycle.stockouts_of(profile, t.materials).where("Lead_Time_Days > 30"), "stockouts")
+    return scenarios.supply_coverage(profile, final)
+
+
+def _sketched_pairs(t: PlanningTables) -> DataFrame:
+    """Customer and material pairs per quarter and over all months, from sketches stored per month, beside exact counts."""
+    pair = ["Customer_ID", "Material_ID"]
+    quarter = F.date_trunc("quarter", "Demand_Month").cast("date").alias("Quarter")
+    stored = materialise(sketches.distinct_sketches(t.actuals, pair, ["Demand_Month"]), "pair-sketches")
+    stored = stored.withColumn("Quarter", quarter)
+    every = F.lit(None).cast("date").alias("Quarter")
+    approx = sketches.merged_distinct(stored, ["Quarter"]).where("Quarter IS NOT NULL")
+    approx = approx.unionByName(sketches.merged_distinct(stored).select(every, "Approx_Distinct"))
+    complete = t.actuals.where("Customer_ID IS NOT NULL AND Material_ID IS NOT NULL")
+    exact = complete.where("Demand_Month IS NOT NULL").groupBy(quarter).agg(F.count_distinct(*pair).alias("Exact_Distinct"))
+    exact = exact.unionByName(quality.distinct_count(t.actuals, pair).select(every, F.col("Distinct_Count").alias("Exact_Distinct")))
+    error = F.abs(F.col("Approx_Distinct") - F.col("Exact_Distinct"))
+    return exact.join(approx, exact["Quarter"].eqNullSafe(approx["Quarter"]), "left").select(
+        exact["Quarter"], "Exact_Distinct", (error <= sketches.DISTINCT_BOUND * F.col("Exact_Distinct")).alias("Within_Bound")
+    )
+
+
+QUANTILES = [0.5, 0.9]
+
+
+def _demand_quantiles(t: PlanningTables) -> DataFrame:
+    """Median and 90 % quantile of demand per quarter, exact, and whether those from sketches stored per month agree."""
+    quarter = F.date_trunc("quarter", "Demand_Month").cast("date").alias("Quarter")
+    rows = t.actuals.where("Demand_Month IS NOT NULL")
+    stored = materialise(sketches.quantile_sketches(rows, "Actual_Demand_Units", ["Demand_Month"]), "demand-sketches")
+    approx = sketches.merged_quantile(stored.withColumn("Quarter", quarter), QUANTILES, ["Quarter"]).withColumnRenamed("Quantiles", "approx")
+    exact = sketches.exact_quantile(rows.withColumn("Quarter", quarter), "Actual_Demand_Units", QUANTILES, ["Quarter"])
+    near = F.forall(F.zip_with("Quantiles", "approx", lambda e, a: F.abs(a - e) <= 1.000001 * sketches.ACCURACY * F.abs(e)), lambda x: x)
+    return exact.join(approx, "Quarter").select(
+        "Quarter", F.col("Quantiles")[0].alias("Median_Demand"), F.col("Quantiles")[1].alias("P90_Demand"), near.alias("Within_Bound")
+    )
+
+
+def _cast_losses(t: PlanningTables) -> DataFrame:
+    """The supply table as a text file might bring it: dates and numbers as text, some not readable, and fractions."""
+    units = F.col("Planned_Supply_Units")
+    as_text = t.supply.withColumns(
+        {
+            "Receipt_Month": F.when(units % 7 == 0, F.lit("soon")).otherwise(F.col("Receipt_Month").cast("string")),
+            "Planned_Supply_Units": (units / 2).cast("double"),
+        }
+    )
+    return contracts.cast_losses(as_text, contracts.PLANNED_SUPPLY)
+
+
 def _schema_violations(t: PlanningTables) -> DataFrame:
     """The supply table with two columns of another type and one missing."""
     wrong = t.supply.withColumns(
@@ -206,6 +290,9 @@ def queries() -> dict[str, Query]:
             quality.multi_site_materials(starschema.multi_site_inventory(spark, root, CALENDAR)), "Site_Count", ["Material_ID"]
         ),
         "q_schema_violations": _on_tables(_schema_violations),
+        "q_cast_losses": _on_tables(_cast_losses),
+        "q_sketched_pairs": _on_tables(_sketched_pairs),
+        "q_demand_quantiles": _on_tables(_demand_quantiles),
         "q_quality_summary": _on_tables(lambda t: validation.quality_summary(t, history_months=CALENDAR.history_months)),
         # projection
         "q_forecast_by_month": _on_tables(lambda t: projection.forecast_by_month(t.forecast)),
@@ -245,8 +332,10 @@ def queries() -> dict[str, Query]:
                 final.select(*KEYS, "Stockout_Status", "Stockout_Units", "Stockout_Value_USD"), "Stockout_Value_USD", KEYS
             )
         ),
+        "q_top_exposure": _on_report(lambda t, report: scenarios.ranked(report, "Stockout_Value_USD", top=20)),
         "q_status_counts": _on_stockouts(lambda t, final: scenarios.status_counts(final)),
         "q_supply_coverage": _on_profile(scenarios.supply_coverage),
+        "q_supply_coverage_of_list": _on_tables(_coverage_of_list),
         "q_rank_supply_coverage": _on_profile(
             lambda df: with_rank(scenarios.supply_coverage(df), "Remaining_Shortfall_Units", KEYS)
         ),
@@ -261,6 +350,7 @@ def queries() -> dict[str, Query]:
         "q_pareto": _on_tables(_pareto),
         "q_pareto_priority": _on_tables(lambda t: drivers.pareto_priority(_pareto(t))),
         "q_report": _on_tables(_report),
+        "q_reporting_table": _on_tables(_reporting_table),
         "q_report_qa": _on_report(lambda t, report: drivers.report_qa(report)),
         # dashboard
         "q_kpi": _on_report(lambda t, report: dashboard.kpi_summary(t.materials, report)),
@@ -270,6 +360,7 @@ def queries() -> dict[str, Query]:
         "q_cycle_report": _cycle_report,
         "q_refresh_results": _refresh_results,
         "q_stored_rows": _stored_rows,
+        "q_stored_contents": _stored_contents,
         **TEXT_QUERIES,
     }
 

@@ -575,6 +575,54 @@ _CHAIN_STATEMENTS["q_stored_rows"] = """SELECT 'created' AS Sink, (SELECT count(
 UNION ALL SELECT 'replaced', (SELECT count(*) FROM analysis)
 UNION ALL SELECT 'overwritten', (SELECT count(*) FROM stockouts)
 UNION ALL SELECT 'bucketed', (SELECT count(*) FROM report)"""
+_ACTUALS_TEXT = ["Actual_Demand_Units", "Customer_ID", "Demand_Month", "Material_ID"]
+_REPORT_TEXT = [
+    "Application_Segment", "First_Stockout_Month", "GPL_Code", "GPL_Name", "Lead_Time_Days", "Lifecycle", "Material_Description",
+    "Material_ID", "Primary_Site", "Remaining_Shortfall_Units", "Site_ID", "Site_Name", "Site_Region", "Stockout_Status",
+    "Stockout_Units", "Stockout_Value_USD", "Unit_Price_USD",
+]
+
+
+def _text_of(columns: list[str]) -> str:
+    return " || '|' || ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in columns)
+
+
+_CHAIN_STATEMENTS["q_stored_contents"] = f"""SELECT 'created' AS Sink, {_text_of(_ACTUALS_TEXT)} AS Row_Values FROM (SELECT DISTINCT * FROM actuals)
+UNION ALL SELECT 'replaced by itself', {_text_of(_REPORT_TEXT)} FROM report WHERE Remaining_Shortfall_Units > 0
+UNION ALL SELECT 'other columns', {_text_of(["Material_ID", "Site_ID", "Stockout_Units"])} FROM report"""
+
+_CHAIN_STATEMENTS["q_top_exposure"] = """SELECT * FROM report
+  ORDER BY Stockout_Value_USD DESC NULLS LAST, Material_ID NULLS FIRST, Site_ID NULLS FIRST LIMIT 20"""
+
+_SITE = "CASE WHEN Material_ID NOT LIKE '%7' THEN Site_ID END"
+_CHAIN_STATEMENTS["q_reporting_table"] = f"""SELECT f.*, coalesce(c.Remaining_Shortfall_Units, 0) AS Remaining_Shortfall_Units
+FROM (SELECT * EXCLUDE (Lead_Time_Band) REPLACE ({_SITE} AS Site_ID) FROM stockouts) f
+LEFT JOIN (SELECT Material_ID, {_SITE} AS Site_ID, Remaining_Shortfall_Units FROM coverage) c
+  ON c.Material_ID = f.Material_ID AND c.Site_ID IS NOT DISTINCT FROM f.Site_ID"""
+
+_CHAIN_STATEMENTS["q_supply_coverage_of_list"] = """SELECT * FROM coverage WHERE Material_ID IN (
+  SELECT Material_ID FROM stockouts WHERE Stockout_Status = 'Critical Stockout' AND Lead_Time_Days > 30)"""
+
+# The second column says that the estimate keeps its error bound.
+_SOURCE_STATEMENTS["q_sketched_pairs"] = """SELECT CAST(date_trunc('quarter', Demand_Month) AS DATE) AS Quarter,
+  count(DISTINCT (Customer_ID, Material_ID)) AS Exact_Distinct, TRUE AS Within_Bound
+  FROM actuals WHERE Demand_Month IS NOT NULL AND Customer_ID IS NOT NULL AND Material_ID IS NOT NULL GROUP BY 1
+UNION ALL SELECT NULL, count(DISTINCT (Customer_ID, Material_ID)), TRUE
+  FROM actuals WHERE Customer_ID IS NOT NULL AND Material_ID IS NOT NULL"""
+
+_SOURCE_STATEMENTS["q_demand_quantiles"] = """SELECT Quarter, max(v) FILTER (r = greatest(ceil(n * 0.5), 1)) AS Median_Demand,
+  max(v) FILTER (r = greatest(ceil(n * 0.9), 1)) AS P90_Demand, TRUE AS Within_Bound
+  FROM (SELECT CAST(date_trunc('quarter', Demand_Month) AS DATE) AS Quarter, Actual_Demand_Units AS v,
+               row_number() OVER (PARTITION BY date_trunc('quarter', Demand_Month) ORDER BY Actual_Demand_Units) AS r,
+               count(*) OVER (PARTITION BY date_trunc('quarter', Demand_Month)) AS n
+        FROM actuals WHERE Demand_Month IS NOT NULL AND Actual_Demand_Units IS NOT NULL)
+  GROUP BY Quarter"""
+
+_SOURCE_STATEMENTS["q_cast_losses"] = """SELECT 'planned_supply_raw' AS Table_Name, 'Receipt_Month' AS Column_Name,
+  'date' AS Expected_Type, 'string' AS Actual_Type, count(*) FILTER (Planned_Supply_Units % 7 = 0) AS Unreadable_Rows,
+  CAST(0 AS BIGINT) AS Changed_Rows FROM supply_raw
+UNION ALL SELECT 'planned_supply_raw', 'Planned_Supply_Units', 'bigint', 'double', CAST(0 AS BIGINT),
+  count(*) FILTER (Planned_Supply_Units % 2 <> 0) FROM supply_raw"""
 _SOURCE_STATEMENTS["q_schema_violations"] = """SELECT * FROM (VALUES
   ('planned_supply_raw', 'Receipt_Month', 'date', 'string'),
   ('planned_supply_raw', 'Planned_Supply_Units', 'bigint', 'int'),

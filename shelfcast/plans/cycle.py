@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -32,12 +34,15 @@ from shelfcast.operators.scenarios import (
 )
 from shelfcast.plans.validation import quality_summary
 from shelfcast.sources import contracts
-from shelfcast.sources.tables import PlanningTables, materialise, release, stored_so_far, write_cycle
+from shelfcast.sources.commits import CycleRun
+from shelfcast.sources.tables import PlanningTables, materialise, release, stored_so_far
 
 PROFILE = "stockout_risk_profile"
 PARETO = "shortfall_pareto"
 QUALITY = "quality_summary"
 
+CONCURRENT_RESULTS = 4  # results that are computed and stored side by side: each is small, and waits for its last tasks
+
 Save = Callable[[DataFrame, str], DataFrame]
 
 
@@ -106,6 +111,37 @@ class Cycle:
         }
 
 
+@contextmanager
+def _one_commit(save: Save) -> Iterator[None]:
+    """All that is stored inside becomes current together, or, if something fails, none of it. A ``save`` that has no
+    commit (`replace_table`, `materialise`) stores each table on its own."""
+    try:
+        yield
+        if isinstance(save, CycleRun):
+            save.commit()
+    except BaseException:
+        if isinstance(save, CycleRun):
+            save.abort()
+        raise
+
+
+def _tables_of_cycle(
+    tables: PlanningTables, as_of: dt.date, save: Save, horizon_months: int | None, site_mode: str, spine: str, threshold: Column | int
+) -> Cycle:
+    planned = analysis_of(
+        tables, as_of=as_of, horizon_months=horizon_months, site_mode=site_mode, spine=spine, threshold=threshold
+    )
+    analysis = save(planned, contracts.ANALYSIS)
+    profile = save(profile_of(analysis, site_mode=site_mode, threshold=threshold), PROFILE)
+    report = save(report_of(profile, tables.materials), contracts.REPORT)
+    stockouts = save(report.drop("Remaining_Shortfall_Units"), contracts.STOCKOUTS)
+    mark = stored_so_far()
+    pareto = save(shortfall_pareto(supply_coverage(profile)), PARETO)
+    if save is not materialise:
+        release(pareto.sparkSession, mark)
+    return Cycle(tables, as_of, analysis, profile, stockouts, report, pareto)
+
+
 def run_cycle(
     tables: PlanningTables,
     as_of: dt.date,
@@ -122,18 +158,8 @@ def run_cycle(
     `materialise`. The raw tables are read once, for the analysis; what follows works on one row per material, month
     and site or less.
     """
-    planned = analysis_of(
-        tables, as_of=as_of, horizon_months=horizon_months, site_mode=site_mode, spine=spine, threshold=threshold
-    )
-    analysis = save(planned, contracts.ANALYSIS)
-    profile = save(profile_of(analysis, site_mode=site_mode, threshold=threshold), PROFILE)
-    report = save(report_of(profile, tables.materials), contracts.REPORT)
-    stockouts = save(report.drop("Remaining_Shortfall_Units"), contracts.STOCKOUTS)
-    mark = stored_so_far()
-    pareto = save(shortfall_pareto(supply_coverage(profile)), PARETO)
-    if save is not materialise:
-        release(pareto.sparkSession, mark)
-    return Cycle(tables, as_of, analysis, profile, stockouts, report, pareto)
+    with _one_commit(save):
+        return _tables_of_cycle(tables, as_of, save, horizon_months, site_mode, spine, threshold)
 
 
 def refresh(
@@ -147,21 +173,21 @@ def refresh(
     threshold: Column | int = 0,
     history_months: int = 24,
 ) -> Cycle:
-    """A whole planning cycle, stored: checks, cleaned demand history, the cycle's tables and all results."""
-    save(quality_summary(tables, history_months=history_months), QUALITY)
-    save(dedupe_exact(tables.actuals), contracts.DEMAND_ACTUALS_CLEAN)
-    cycle = run_cycle(
-        tables, as_of, save, horizon_months=horizon_months, site_mode=site_mode, spine=spine, threshold=threshold
-    )
-    for name, result in cycle.results().items():
-        save(result, name)
-    return cycle
-
+    """A whole planning cycle, stored: checks, cleaned demand history, the cycle's tables and all results.
 
-def cycle_store(root: str, cycle: dt.date) -> Save:
-    """Store below ``root``, partitioned by cycle date."""
+    With `cycle_store` all of them become current in one commit: readers see the run before or this one, never parts
+    of both. Results that don't depend on one another are stored side by side.
+    """
+    with _one_commit(save):
+        save(quality_summary(tables, history_months=history_months), QUALITY)
+        save(dedupe_exact(tables.actuals), contracts.DEMAND_ACTUALS_CLEAN)
+        cycle = _tables_of_cycle(tables, as_of, save, horizon_months, site_mode, spine, threshold)
+        with ThreadPoolExecutor(CONCURRENT_RESULTS) as pool:
+            for stored in [pool.submit(save, result, name) for name, result in cycle.results().items()]:
+                stored.result()
+    return cycle
 
-    def save(df: DataFrame, name: str) -> DataFrame:
-        return write_cycle(df, root, name, cycle)
 
-    return save
+def cycle_store(root: str, cycle: dt.date) -> CycleRun:
+    """Store below ``root``, partitioned by cycle date; a run of `run_cycle` or `refresh` is one commit."""
+    return CycleRun(root, cycle)

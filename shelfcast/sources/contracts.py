@@ -134,6 +134,41 @@ def schema_violations(df: DataFrame, table: str) -> DataFrame:
     )
 
 
+def cast_losses(df: DataFrame, table: str) -> DataFrame:
+    """What converting a table to its contract would lose, from one pass over its rows.
+
+    ``Table_Name, Column_Name, Expected_Type, Actual_Type, Unreadable_Rows, Changed_Rows`` for each mistyped column: values
+    that the expected type cannot hold, and values that it holds but that do not come back the same (a fraction or a time of day
+    cut off). A table with the right types, or none of the mistyped columns, gives no rows. `enforce` with ``cast`` fails on
+    the former and is silent about the latter.
+    """
+    wrong = [p for p in schema_problems(df, table) if p[3] is not None]
+    if not wrong:
+        return df.sparkSession.createDataFrame([], _LOSSES)
+    counts = []
+    for _, name, expected, actual in wrong:
+        read = F.col(f"`{name}`").try_cast(expected)
+        # A text may spell a value in many ways; it is the value that has to come back.
+        counts.append(F.count_if(F.col(f"`{name}`").isNotNull() & read.isNull()).alias(f"unreadable_{name}"))
+        back = F.lit(True) if actual == "string" else read.try_cast(actual).eqNullSafe(F.col(f"`{name}`"))
+        counts.append(F.count_if(read.isNotNull() & ~back).alias(f"changed_{name}"))
+    one = df.agg(*counts)
+    rows = [
+        F.struct(
+            F.lit(table).alias("Table_Name"), F.lit(name).alias("Column_Name"), F.lit(expected).alias("Expected_Type"),
+            F.lit(actual).alias("Actual_Type"), F.col(f"`unreadable_{name}`").alias("Unreadable_Rows"),
+            F.col(f"`changed_{name}`").alias("Changed_Rows"),
+        )
+        for _, name, expected, actual in wrong
+    ]
+    return one.select(F.inline(F.array(*rows)))
+
+
+_LOSSES = (
+    "Table_Name string, Column_Name string, Expected_Type string, Actual_Type string, Unreadable_Rows bigint, Changed_Rows bigint"
+)
+
+
 def enforce(df: DataFrame, table: str, *, cast: bool = False) -> DataFrame:
     """Project ``df`` to its contract; raise `ContractError` on a mismatch.
 

@@ -1,14 +1,12 @@
-"""Readers, writers and the materialisation point."""
+"""Readers, writers and the materialisation point; what overwrites is in `commits`."""
 
 from __future__ import annotations
 
-import datetime as dt
 import uuid
 from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from shelfcast.sources import contracts
 
@@ -71,46 +69,6 @@ def create_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.table(name)
 
 
-def replace_table(df: DataFrame, name: str, *, buckets: int = 0, bucket_by: str = "Material_ID") -> DataFrame:
-    """Create or replace a catalog table from a query and read it back.
-
-    With ``buckets`` the rows are written in buckets of ``bucket_by``, and later windows, joins and aggregations on that
-    column need no shuffle. Every task writes its own part of each bucket: a hot key's rows are not sent to one task
-    first. Spark refuses to overwrite a table its own plan reads.
-    """
-    if buckets:
-        writer = df.write.bucketBy(buckets, bucket_by).sortBy(bucket_by)
-    else:
-        writer = df.write
-    writer.mode("overwrite").saveAsTable(name)
-    return df.sparkSession.table(name)
-
-
-def write_cycle(df: DataFrame, root: str, name: str, cycle: dt.date) -> DataFrame:
-    """Write one planning cycle of a table below ``root`` and read that cycle back.
-
-    The partition of this cycle is addressed by its folder: a rerun replaces it, also by an empty result (which a
-    dynamic partition overwrite would leave standing), and other cycles stay. The rows are complete in a folder of
-    their own before the old ones go and the folder is renamed, so a rerun that fails leaves the cycle as it was. On
-    stores without an atomic rename the exchange itself takes as long as a copy.
-    """
-    spark, target = df.sparkSession, f"{root}/{name}/Cycle_Date={cycle:%Y-%m-%d}"
-    fresh = f"{root}/{name}/_run-{uuid.uuid4().hex}"  # Spark's readers skip names with an underscore
-    df.drop("Cycle_Date").write.parquet(fresh)
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    files = path(target).getFileSystem(spark._jsc.hadoopConfiguration())
-    files.delete(path(target), True)
-    if not files.rename(path(fresh), path(target)):
-        raise OSError(f"{fresh} cannot be renamed to {target}")
-    return read_cycle(spark, root, name, cycle)
-
-
-def read_cycle(spark: SparkSession, root: str, name: str, cycle: dt.date | None = None) -> DataFrame:
-    """One cycle of a stored table (partition-pruned), or all of them."""
-    df = spark.read.parquet(f"{root}/{name}")
-    return df if cycle is None else df.filter(F.col("Cycle_Date") == F.lit(cycle))
-
-
 def stage_root(spark: SparkSession) -> str:
     """The shared folder for intermediate tables: ``spark.checkpoint.dir``, or a folder of the warehouse, which all
     executors share as well."""

@@ -18,18 +18,16 @@ from shelfcast.operators.scenarios import supply_coverage
 from shelfcast.plans import cycle, job
 from shelfcast.session import shuffle_partitions
 from shelfcast.sources import contracts, starschema
+from shelfcast.sources.commits import read_cycle, replace_table, write_cycle
 from shelfcast.sources.tables import (
     INPUTS,
     create_table,
     materialise,
-    read_cycle,
     read_inputs,
     read_table,
     release,
-    replace_table,
     stage_root,
     stored_so_far,
-    write_cycle,
 )
 
 
@@ -132,6 +130,7 @@ def test_job_refreshes_everything_from_files(spark, stored, tmp_path):
     job.run(spark, job.arguments(["--as-of", str(AS_OF), "--inputs", stored, "--out", out]))
     names = {path.name for path in (tmp_path / "cycles").iterdir()}
     assert names == {
+        "_commits",
         "quality_summary",
         "demand_actuals_clean",
         "stockout_risk_analysis",
@@ -234,3 +233,22 @@ def test_a_rerun_without_rows_empties_its_cycle(spark, tmp_path):
 def test_shuffle_partitions_follow_the_volume():
     assert shuffle_partitions(0, 8) == 8
     assert shuffle_partitions(10 * 1024**4, 8) == 81920
+
+
+def test_what_a_cast_would_lose(spark):
+    rows = [("S1", "M", "L", "2026-01-01", 5.0, "Planned", "x"), ("S2", "M", "L", "soon", 2.5, "Planned", "x"),
+            ("S3", "M", "L", None, None, None, None), ("S4", "M", "L", "2026-02-30", 1e30, "Planned", "x")]
+    schema = (
+        "Supply_ID string, Material_ID string, Site_ID string, Receipt_Month string, Planned_Supply_Units double, "
+        "Supply_Status string, Supply_Type string"
+    )
+    df = spark.createDataFrame(rows, schema)
+    found = sorted(map(tuple, contracts.cast_losses(df, contracts.PLANNED_SUPPLY).collect()))
+    table = contracts.PLANNED_SUPPLY
+    assert found == [
+        (table, "Planned_Supply_Units", "bigint", "double", 1, 1),
+        (table, "Receipt_Month", "date", "string", 2, 0),
+    ]
+    right = contracts.enforce(df.limit(1), table, cast=True)
+    assert contracts.cast_losses(right, table).collect() == []
+    assert contracts.cast_losses(df.drop("Receipt_Month", "Planned_Supply_Units"), table).collect() == []
