@@ -19,6 +19,14 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return materialise(df, f"llm-{name}")
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until no column of ``df`` is called so (Spark ignores letter case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}.parquet")
 

@@ -1,5 +1,4 @@
-import re
-
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -33,18 +32,6 @@ CASES = [
 ]
 
 
-def plain(text):
-    lowered = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
-    sentences = re.split("(?:[.;!?]+(?: |$))", re.sub(licences.NOT_IN_SENTENCES, " ", lowered))
-    ids = [next((n for n, p in licences.SENTENCES if re.search(p, s)), None) for s in sentences if re.search(licences.KEYWORD, s)]
-    rest, found = " ".join(filter(None, ids)) + " ", []
-    for name, rule in licences.RULES:
-        if re.search(rule, rest) and name not in found:
-            found.append(name)
-        rest = re.sub(rule, "", rest)
-    return found
-
-
 def test_known_texts_nulls_copies_and_clashing_names(spark):
     rows = [(i, t) for i, (t, _) in enumerate(CASES)] + [(0, MIT), (None, MIT)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("licences", F.lit(1)).withColumn("extra", F.lit(2))
@@ -52,7 +39,6 @@ def test_known_texts_nulls_copies_and_clashing_names(spark):
     assert sorted(out.columns) == ["doc_id", "extra", "licences", "sentence_ids", "text"]
     got = [(r.doc_id, r.licences) for r in out.collect()]
     assert got == [(i, CASES[i or 0][1]) for i, _ in rows]
-    assert [plain(t) for t, _ in CASES] == [want for _, want in CASES]
     assert licences.scan(docs.limit(0)).collect() == []
 
 
@@ -63,8 +49,18 @@ SEVERAL = [
     ("Licensed under the MIT License or the Apache License, Version 2.0", ["mit", "apache2"], ["Apache-2.0", "MIT"]),
     ("foo: MIT License\nbar: ISC License\nbaz: GNU General Public License version 2\nqux: Zlib License or later", ["mit", "isc", "gpl2", "zlib"], ["MIT", "GPL-2.0", "ISC", "Zlib"]),
     ("a SPDX-License-Identifier: MIT\n// SPDX-License-Identifier: AGPL-3.0-only\nSPDX-License-Identifier: BSL-1.0\nThe MIT License", ["spdx_mit", "agpl3", "boost", "mit"], ["MIT", "AGPL-3.0", "BSL-1.0"]),
-    ("SPDX-License-Identifier: GPL-2.0-or-later", ["spdx_gpl2"], ["GPL-2.0"]),
-    ("SPDX-License-Identifier: EUPL-1.2", ["some_licence"], ["Unknown"]),
+    ("SPDX-License-Identifier: GPL-2.0-or-later", ["spdx_gpl2_later"], ["GPL-2.0-or-later"]),
+    ("/* SPDX-License-Identifier: GPL-3.0-or-later */ int x", ["spdx_gpl3_later"], ["GPL-3.0-or-later"]),
+    ("SPDX-License-Identifier: GPL-2.0+. And so on", ["spdx_gpl2_later"], ["GPL-2.0-or-later"]),
+    ("SPDX-License-Identifier: MIT-0", ["some_licence"], ["Unknown"]),
+    ("SPDX-License-Identifier: BSD-3-Clause-Clear", ["some_licence"], ["Unknown"]),
+    ("SPDX-License-Identifier: BSD-2-Clause-Patent or MIT", ["some_licence", "spdx_mit"], ["MIT", "Unknown"]),
+    ("SPDX-License-Identifier: LGPL-2.1-only", ["spdx_lgpl21"], ["LGPL-2.1"]),
+    ("SPDX-License-Identifier: LGPL-3.0-or-later AND AGPL-3.0-or-later", ["spdx_lgpl3_later", "spdx_agpl3_later"], ["LGPL-3.0-or-later", "AGPL-3.0-or-later"]),
+    ("SPDX-License-Identifier: Zlib-acknowledgement", ["some_licence"], ["Unknown"]),
+    ("SPDX-License-Identifier: EUPL-1.2", ["eupl"], ["EUPL"]),
+    ("under the Common Development and Distribution License or the European Union Public Licence", ["cddl", "eupl"], ["EUPL", "CDDL"]),
+    ("SPDX-License-Identifier: MIT the mit license", ["spdx_mit", "mit"], ["MIT"]),
     ("SPDX-License-Identifier: CC-BY-SA-4.0", ["cc_by_sa"], ["CC-BY-SA"]),
     ("SPDX-License-Identifier: NOASSERTION", [], []),
     ("GNU General Public License version 3 or the GNU Lesser General Public License", ["gpl3", "lgpl"], ["LGPL", "GPL-3.0"]),
@@ -74,3 +70,14 @@ SEVERAL = [
 def test_all_licences_of_a_sentence(spark):
     out = licences.scan(spark.createDataFrame([(t,) for t, _, _ in SEVERAL], "text string")).collect()
     assert [(r.text, r.sentence_ids, r.licences) for r in out] == SEVERAL
+
+
+def test_sql_gives_the_same_on_all_cases(spark, tmp_path):
+    texts = [t for t, _ in CASES] + [t for t, _, _ in SEVERAL]
+    texts += ["\n".join(t for t, _, _ in SEVERAL), "SPDX-License-Identifier: " + " OR ".join(["MIT", "ISC", "X-1"] * 3), None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    found = licences.op8_licences(spark, str(tmp_path))
+    expected = duck.execute(f"SELECT {', '.join(found.columns)} FROM ({licences.OP8_SQL})").fetchall()
+    assert sorted(map(tuple, found.collect())) == sorted(expected)

@@ -82,3 +82,10 @@ def test_whole_table(spark, data_dir, tokens):
     got = restored(rows, packing.LENGTH, packing.END_ID)
     assert got == {d.doc_id: [*tokens.encoding.encode_ordinary(d.text), packing.END_ID] for d in docs}
     assert sum(r.n_tokens for r in rows) > 0.98 * packing.LENGTH * len(rows)
+
+
+def test_ids_keep_their_type(spark):
+    docs = spark.createDataFrame([("a-1", "one two"), (None, "three"), ("b", None)], "doc_id string, text string")
+    out = packing.packed(docs)
+    assert dict(out.dtypes)["doc_ids"] == "array<string>"
+    assert sorted((d for r in out.collect() for d in r.doc_ids), key=str) == [None, "a-1", "b"]

@@ -107,3 +107,90 @@ def test_table_with_nulls_copies_and_clashing_names(spark):
     want = [(p, u, pages.main_text(h), len(pages.main_text(h))) for p, u, h in rows]
     assert got == want
     assert pages.extract(frame.limit(0)).collect() == []
+
+
+def test_a_form_around_the_page_is_no_form():
+    long = "A paragraph of an article with quite a few words in it. " * 8
+    for inner in (f"<p>{long}</p><p>{long}</p>", f"<article><p>{long}</p><p>{long}</p></article>"):
+        page = f'<body><form id="aspnetForm"><input><label>Name</label><select><option>x</select>{inner}<button>Go</button></form></body>'
+        assert pages.main_text(page) == f"{long.strip()}\n{long.strip()}"
+    page = f"<body><article><p>{long}</p><form><p>Sign up for letters</p><input></form><p>{long}</p></article></body>"
+    assert pages.main_text(page) == f"{long.strip()}\n{long.strip()}"
+
+
+def test_what_stands_in_a_line_does_not_cut_it():
+    long = "Words of the article and more of them. " * 8
+    line = (
+        "Energy is <math><mi>E</mi><mo>=</mo><mi>m</mi><annotation>E=m</annotation></math> as <svg><text>icon</text></svg>known "
+        "<button>Buy</button>to <select><option>x</option></select>all <span class='ad'>buy</span>of us."
+    )
+    page = f"<body><article><p>{long}</p><p>{line}</p><nav>menu</nav>After it.</article></body>"
+    assert pages.main_text(page) == f"{long.strip()}\nEnergy is E=m as known to all of us.\nAfter it."
+
+
+def plain_densities(tree):
+    """Each element's numbers from its own subtree, element by element."""
+    import math
+
+    n = len(tree.tag)
+    below = [[j for j in range(n) if i in ancestors(tree, j)] for i in range(n)]
+
+    def numbers(i):
+        alive = [j for j in below[i] if not tree.gone[j]]
+        return sum(tree.chars[j] for j in alive), sum(tree.linked[j] for j in alive), len(alive), sum(tree.tag[j] == "a" for j in alive)
+
+    page, page_links = numbers(0)[:2]
+    out = []
+    for i in range(n):
+        c, lc, t, lt = numbers(i)
+        value = c / max(t, 1)
+        if c and page_links:
+            ratio = max(c / max(lc, 1) * t / max(lt, 1), 1)
+            base = math.log(c / max(c - lc, 1) * lc + page_links / page * c + math.e)
+            value *= math.log(ratio) / max(math.log(base), 1e-9)
+        out.append(value)
+    return out, [sum(out[j] for j in range(1, n) if tree.parent[j] == i) for i in range(n)]
+
+
+def ancestors(tree, i):
+    out = [i]
+    while tree.parent[out[-1]] >= 0:
+        out.append(tree.parent[out[-1]])
+    return out
+
+
+def plain_roots(tree):
+    density, sums = plain_densities(tree)
+    n = len(tree.tag)
+    core = min(range(n), key=lambda i: (-sums[i], i))
+    threshold = min(density[i] for i in ancestors(tree, core))
+    roots = {core}
+    for i in range(1, n):
+        if density[i] >= threshold and density[i] > 0:
+            inside = [j for j in range(n) if i in ancestors(tree, j)]
+            roots.add(min(inside, key=lambda j: (-sums[j], j)))
+    return roots
+
+
+def test_densities_and_roots_on_random_trees():
+    import random
+
+    rng = random.Random(4)
+
+    def grow(depth):
+        out = ""
+        for _ in range(rng.randint(1, 3)):
+            tag = rng.choice(["div", "section", "p", "a", "ul", "span"])
+            inner = "word " * rng.randint(0, 9) + (grow(depth - 1) if depth and tag not in ("p", "a", "span") else "")
+            out += f"<{tag}>{inner}</{tag}>"
+        return out
+
+    for _ in range(150):
+        tree = pages.Tree(f"<body>{grow(3)}</body>")
+        mine, plain = pages.densities(tree), plain_densities(tree)
+        assert all(abs(a - b) < 1e-9 for x, y in zip(mine, plain) for a, b in zip(x, y))
+
+        def covered(roots):
+            return {i for i in range(len(tree.tag)) if roots & set(ancestors(tree, i)) and tree.chars[i]}
+
+        assert covered(pages.content_roots(tree)) == covered(plain_roots(tree))

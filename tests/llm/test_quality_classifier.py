@@ -79,3 +79,10 @@ def test_packed_rows_are_the_shares():
     for got, text in zip(quality.Rows([quality.packed(t) for t in texts]), texts):
         index, share = quality.shares(text)
         assert (got[0] == index).all() and (got[1] == share).all()
+
+
+def test_ids_may_be_text(spark):
+    docs = spark.createDataFrame([(f"d{i}", f"word{i} good text" if i % 2 else f"### word{i} ###") for i in range(100)], "doc_id string, text string")
+    labels = docs.select("doc_id", F.col("text").startswith("word").cast("int").alias("quality"))
+    model = quality.fit(docs, labels)
+    assert model.score("word7 good text") > 0.5 > model.score("### word7 ###")

@@ -70,3 +70,10 @@ def test_long_texts_are_cut_and_pieces_still_meet(spark, monkeypatch):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert repeats.without_repeats(docs).collect() == []
+
+
+def test_a_column_of_the_temporary_name_passes_through(spark):
+    docs = spark.createDataFrame([(1, "abc" * 40, "mine"), (2, "abc" * 40, "mine")], "doc_id long, text string, _cut string")
+    out = repeats.without_repeats(docs, min_bytes=50, anchor_bytes=12)
+    assert out.columns == ["doc_id", "text", "_cut", "n_bytes", "removed", "kept"]
+    assert [(r._cut, r.n_bytes, len(r.kept)) for r in out.collect()] == [("mine", 120, 0)] * 2

@@ -110,3 +110,48 @@ def test_parts_of_a_batch_are_bounded_and_complete():
     assert [t for p in cut for t in p.to_pylist()] == texts.to_pylist()
     assert all(len(p) == 1 or sum(len(t or "") for t in p.to_pylist()) <= 4 for p in cut)
     assert list(parts(texts.slice(0, 0), 4)) == []
+
+
+@pytest.mark.parametrize("shard_points", [2, 40])
+def test_dense_clusters_are_searched_in_cells(spark, shard_points):
+    rng = np.random.default_rng(8)
+    base = rng.integers(0, 2**63, 3, dtype=np.uint64)
+    points = {int(b) for b in base}
+    for b in base.tolist():  # a ball around each, and chains that leave it
+        points |= {b ^ 1 << i ^ 1 << j for i in range(24) for j in range(i)}
+        points |= {b ^ (1 << 30) - 1 ^ 1 << i for i in range(40)}
+    points = sorted(points)
+    signed = np.array(points, np.uint64).view(np.int64).tolist()
+    frame = spark.createDataFrame([(p,) for p in signed], "fp long").repartition(5)
+    links = simhash.link_fingerprints(frame, 2, shard_points=shard_points, sample_points=64).collect()
+    place = {p: i for i, p in enumerate(signed)}
+    label = simhash.labels_of(len(points), np.array([place[r.a] for r in links]), np.array([place[r.b] for r in links]))
+    expected = plain_components(points)
+    roots = {}
+    assert all(roots.setdefault(l, expected[p]) == expected[p] for p, l in zip(points, label.tolist()))
+    assert len(set(roots.values())) == len(roots) > 1
+
+
+def test_cells_are_bounded_and_complete(spark):
+    rows = [(s, i, i % 3 > 0) for s, n in ((0, 5), (1, 3000), (2, 1)) for i in range(n)]
+    cells = simhash._cells(spark.createDataFrame(rows, "shard int, fp long, home boolean"), 10).toPandas()
+    sizes = cells.groupby(["shard", "part", "block"]).size()
+    assert sizes[0].tolist() == [5] and sizes[2].tolist() == [1] and sizes[1].max() < 20 * 10 * 1.5
+    mine = cells[cells["shard"] == 1]
+    assert len(sizes[1]) == -(-2000 // 40) * -(-3000 // 160)
+    for _, cell in mine[mine["home"]].groupby("fp"):
+        met = set().union(*(set(mine[(mine["part"] == p) & (mine["block"] == b)]["fp"]) for p, b in zip(cell["part"], cell["block"])))
+        assert met == set(range(3000))
+        break
+
+
+def test_stage_keeps_unlike_texts_of_one_id(spark):
+    one, two = "alpha beta gamma delta epsilon zeta eta theta", "some quite other words stand here today indeed"
+    rows = [(1, one), (1, two), (2, one.upper()), (1, one), (None, two + " "), (3, "a third text that nothing else resembles at all")]
+    docs = spark.createDataFrame([(*r, "kept") for r in rows], "doc_id long, text string, _row string")
+    out = simhash.stage(spark, docs.repartition(3), "")
+    assert out.columns == docs.columns
+    expected = [(1, one), (1, two), (3, rows[5][1])]
+    assert sorted((r.doc_id, r.text) for r in out.collect()) == expected
+    again = simhash.stage(spark, docs.orderBy(F.desc("text")).coalesce(1), "").collect()
+    assert sorted((r.doc_id, r.text) for r in again) == expected and {r._row for r in again} == {"kept"}
