@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from shelfcast.llm.common import connected_components, staged, table
+from shelfcast.llm.common import connected_components, staged, table, unused
 
 SHINGLE_WORDS = 3
 MAX_BITS = 2
@@ -215,8 +215,27 @@ def link_fingerprints(points: DataFrame, reach: int, *, shard_points: int, sampl
         moved = label != np.arange(len(values))
         return pd.DataFrame({"a": values[moved], "b": values[label[moved]]})
 
-    visits = points.select("fp").mapInPandas(routed, "shard int, fp long, home boolean")
-    return visits.groupBy("shard").applyInPandas(linked, "a long, b long")
+    visits = staged(points.select("fp").mapInPandas(routed, "shard int, fp long, home boolean"), "visits")
+    return _cells(visits, shard_points).groupBy("shard", "part", "block").applyInPandas(linked, "a long, b long")
+
+
+def _cells(visits: DataFrame, shard_points: int) -> DataFrame:
+    """``visits`` with ``part`` and ``block``: a shard that holds more than it should is searched in cells.
+
+    Its home points are dealt to parts, all its points to blocks, and each cell compares a part with a block, so every home
+    point still meets every point of the shard, and no group has more than about 20 times ``shard_points`` rows. A usual shard is one cell.
+    """
+    sizes = visits.groupBy("shard").agg(
+        F.ceil(F.count_if("home") / (4 * shard_points)).alias("parts"), F.ceil(F.count("*") / (16 * shard_points)).alias("blocks")
+    )
+    part = F.pmod(F.xxhash64("fp"), F.greatest("parts", F.lit(1)))
+    block = F.pmod(F.xxhash64(F.lit(1), "fp"), F.greatest("blocks", F.lit(1)))
+    as_query = F.transform(F.sequence(F.lit(0), F.greatest("parts", F.lit(1)) - 1), lambda p: F.struct(p.cast("long").alias("part"), block.alias("block")))
+    at_home = F.transform(F.sequence(F.lit(0), F.greatest("blocks", F.lit(1)) - 1), lambda b: F.struct(part.alias("part"), b.cast("long").alias("block")))
+    cells = F.when(F.col("home"), F.array_union(as_query, at_home)).otherwise(as_query)
+    dealt = visits.join(sizes, "shard").select("shard", "fp", "home", part.alias("own"), F.explode(cells).alias("cell"))
+    home = F.col("home") & (F.col("own") == F.col("cell.part"))
+    return dealt.select("shard", "fp", home.alias("home"), "cell.part", "cell.block")
 
 
 def near_duplicates(
@@ -226,21 +245,23 @@ def near_duplicates(
     max_bits: int = MAX_BITS,
     shard_points: int = SHARD_POINTS,
     sample_points: int = SAMPLE_POINTS,
+    carried: Sequence[str] = (),
 ) -> DataFrame:
     """One row per row of ``docs`` (``doc_id, text``; other columns are ignored): ``doc_id``, ``fingerprint`` (16 hex
-    digits), ``component_id`` (the smallest doc_id reachable over links of at most ``max_bits`` differing bits) and
-    ``component_fp`` (its smallest fingerprint, as a signed number).
+    digits), ``component_id`` (the smallest doc_id reachable over links of at most ``max_bits`` differing bits),
+    ``component_fp`` (its smallest fingerprint, as a signed number) and the ``carried`` columns of the row.
 
     Null and empty texts share fingerprint zero, which links like any other. Equal rows stay separate rows of one
     component. Rows without doc_id take part but name no component; a component of such rows only has a null id. An
     empty table gives no rows.
 
     Work and memory: copies are reduced to distinct fingerprints before anything is compared; a shard holds about
-    ``shard_points`` of them and its visitors; the sample of ``sample_points`` is all the driver sees. Joins back are on
+    ``shard_points`` of them and its visitors, and one that holds more, since its points cannot be told apart by
+    distance or there are more than the sample can halve, is searched in cells; the sample of ``sample_points`` is all the driver sees. Joins back are on
     the fingerprint, plain equi-joins in which adaptive execution splits a hot one.
     """
     prints = staged(
-        docs.select(F.col("doc_id"), _fingerprints(shingle_words)(F.col("text").cast("string")).alias("fp")),
+        docs.select("doc_id", *carried, _fingerprints(shingle_words)(F.col("text").cast("string")).alias("fp")),
         "fingerprints",
     )
     points = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "points")
@@ -259,7 +280,7 @@ def near_duplicates(
         F.coalesce("root", "fp").alias("component_fp"),
     )
     return prints.join(named, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "component_fp"
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "component_fp", *carried
     )
 
 
@@ -268,14 +289,14 @@ def op4_simhash(spark: SparkSession, root: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, root: str) -> DataFrame:
-    """Pipeline stage: the document with the smallest id of each component, one row if it is repeated.
+    """Pipeline stage: one row of each component, that with the smallest id (without id: last).
 
-    A doc_id names one document. A component of rows without ids only keeps one of its rows.
+    Rows are told apart by id and text: unlike texts under one id are in components of their own, and one row of each
+    stays; of texts alike under one id it is the one with the smaller hash, whatever the partitioning.
     """
-    found = staged(near_duplicates(docs).select("doc_id", "component_id", "component_fp"), "components")
-    keep = found.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    nameless = docs.where("doc_id IS NULL").withColumn("_fp", _fingerprints(SHINGLE_WORDS)(F.col("text")))
-    labels = found.where("doc_id IS NULL AND component_id IS NULL").select("component_fp").distinct()
-    rest = nameless.join(labels, nameless["_fp"] == labels["component_fp"]).dropDuplicates(["component_fp"])
-    return kept.unionByName(rest.select(*docs.columns))
+    one, two = unused(docs, "_row"), unused(docs, "_text")
+    named = docs.withColumns({one: F.xxhash64("doc_id", "text"), two: F.xxhash64(F.lit(1), "text", "doc_id")})
+    found = near_duplicates(named, carried=[one, two])
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", one, two)).alias("first")
+    keep = found.groupBy("component_fp").agg(first).select(f"first.{one}", f"first.{two}")
+    return named.join(staged(keep, "kept"), [one, two], "left_semi").dropDuplicates([one, two]).select(*docs.columns)
