@@ -20,15 +20,6 @@ KEYWORD_IN_TEXT = "(?i)" + KEYWORD.replace(" ", "[^a-z0-9]+")
 # Wording of published licences and of the usual notices that name them, lower case, punctuation as spaces.
 # The first rule that a sentence contains gives its identifier.
 SENTENCES: list[tuple[str, str]] = [
-    ("spdx_mit", r"spdx license identifier mit\b"),
-    ("spdx_apache2", r"spdx license identifier apache 2\.0"),
-    ("spdx_gpl3", r"spdx license identifier gpl 3\.0"),
-    ("spdx_gpl2", r"spdx license identifier gpl 2\.0"),
-    ("spdx_lgpl", r"spdx license identifier lgpl "),
-    ("spdx_bsd3", r"spdx license identifier bsd 3 clause"),
-    ("spdx_bsd2", r"spdx license identifier bsd 2 clause"),
-    ("spdx_mpl2", r"spdx license identifier mpl 2\.0"),
-    ("spdx_isc", r"spdx license identifier isc\b"),
     ("mit_grant", r"permission is hereby granted free of charge to any person obtaining a copy"),
     ("mit_notice", r"the above copyright notice and this permission notice shall be included in all"),
     ("isc_grant", r"permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
@@ -51,6 +42,9 @@ SENTENCES: list[tuple[str, str]] = [
     ("gpl", r"gnu general public license"),
     ("mpl2", r"mozilla public license (v\.? ?|version )?2\.0"),
     ("epl", r"eclipse public license"),
+    ("eupl", r"european union public licen[cs]e"),
+    ("cddl", r"common development and distribution license"),
+    ("artistic", r"\bartistic license\b"),
     ("mit", r"\bmit license\b|licensed under (the )?mit\b"),
     ("bsd3", r"\b(3 clause bsd|bsd 3 clause|new bsd|modified bsd|revised bsd)\b"),
     ("bsd2", r"\b(2 clause bsd|bsd 2 clause|simplified bsd|freebsd license)\b"),
@@ -71,6 +65,15 @@ SENTENCES: list[tuple[str, str]] = [
     ("some_licence", r"(licensed|released|distributed|available|used) under (the |a |an )?.*licen[cs]e|licensed under (the )?terms"),
 ]
 
+#: Families and versions of the GNU licences that have identifiers of their own, each for itself or with later versions.
+GNU = [("gpl", "2.0"), ("gpl", "3.0"), ("lgpl", "2.0"), ("lgpl", "2.1"), ("lgpl", "3.0"), ("agpl", "3.0")]
+
+
+def _gnu_id(family: str, version: str, later: str) -> str:
+    name = f"{family}{version.removesuffix('.0').replace('.', '')}"
+    return "agpl3" if (family, later) == ("agpl", "") else f"spdx_{name}{'_later' if later else ''}"
+
+
 # Licences by the sequence of sentence identifiers, each followed by a space. Rules are tried in this order; what a rule
 # has matched is taken out, so a full text is not also reported by one of its sentences.
 RULES: list[tuple[str, str]] = [
@@ -81,8 +84,10 @@ RULES: list[tuple[str, str]] = [
     ("Apache-2.0", r"(apache2 )?apache2_may_not (apache2_copy )?(apache2_warranty )?"),
     ("Apache-2.0", r"(apache2|spdx_apache2) (apache2_warranty )?"),
     ("MIT", r"\b(mit|spdx_mit) "),
+    *[(f"{family.upper()}-{version}{later}", rf"\b{_gnu_id(family, version, later)} ")
+      for family, version in GNU for later in ("-or-later", "") if (family, later) not in (("agpl", ""), ("gpl", ""))],
     ("AGPL-3.0", r"\bagpl3 "),
-    ("LGPL", r"\b(lgpl|spdx_lgpl) "),
+    ("LGPL", r"\blgpl "),
     ("GPL-3.0-or-later", r"(gpl )?gpl3_later "),
     ("GPL-2.0-or-later", r"(gpl )?gpl2_later "),
     ("GPL-3.0", r"\b(gpl3|spdx_gpl3) "),
@@ -91,6 +96,9 @@ RULES: list[tuple[str, str]] = [
     ("BSD-3-Clause", r"\b(bsd3|spdx_bsd3) "),
     ("BSD-2-Clause", r"\b(bsd2|spdx_bsd2) "),
     ("BSD", r"\b(bsd|bsd_grant) "),
+    ("EUPL", r"\beupl "),
+    ("CDDL", r"\bcddl "),
+    ("Artistic", r"\bartistic "),
     ("MPL-2.0", r"\b(mpl2|spdx_mpl2) "),
     ("EPL", r"\bepl "),
     ("ISC", r"\b(isc|spdx_isc) "),
@@ -110,20 +118,33 @@ RULES: list[tuple[str, str]] = [
 ]
 
 
-#: Other SPDX identifiers. What none of the tags names is hinted at only; NONE and NOASSERTION name no licence.
+#: SPDX identifiers, each as a whole: the tag's identifier is followed by a sign that is in no other place. NONE and NOASSERTION
+#: name no licence, and what is not listed is hinted at only.
 SPDX: list[tuple[str, str]] = [
-    ("agpl3", r"spdx license identifier agpl 3\.0"),
-    ("lgpl", r"spdx license identifier lgpl\b"),
-    ("epl", r"spdx license identifier epl\b"),
-    ("zlib", r"spdx license identifier zlib\b(?! acknowledgement)"),
-    ("boost", r"spdx license identifier bsl 1\.0"),
-    ("unlicense", r"spdx license identifier unlicense\b"),
-    ("cc0", r"spdx license identifier cc0\b"),
-    *[(name, rf"spdx license identifier {name.replace('_', ' ')}\b(?! n[cd]\b| sa\b)") for name in
+    ("", "none|noassertion"),
+    ("spdx_mit", "mit"),
+    ("spdx_apache2", r"apache 2\.0"),
+    *[(_gnu_id(family, version, later), family + " " + version.replace(".", r"\.") + ("( or later|[+])" if later else "( only)?"))
+      for family, version in GNU for later in ("", "-or-later")],
+    ("spdx_bsd3", "bsd 3 clause"),
+    ("spdx_bsd2", "bsd 2 clause"),
+    ("spdx_mpl2", r"mpl 2\.0"),
+    ("spdx_isc", "isc"),
+    ("epl", r"epl [12]\.0"),
+    ("eupl", r"eupl 1\.[0-2]"),
+    ("cddl", r"cddl 1\.[01]"),
+    ("artistic", r"artistic [12]\.0"),
+    ("zlib", "zlib"),
+    ("boost", r"bsl 1\.0"),
+    ("unlicense", "unlicense"),
+    ("cc0", r"cc0 1\.0"),
+    *[(name, name.replace("_", " ") + r" [1-4]\.[05]") for name in
       ("cc_by_nc_nd", "cc_by_nc_sa", "cc_by_nc", "cc_by_nd", "cc_by_sa", "cc_by")],
-    ("some_licence", r"spdx license identifier (?!(?:none|noassertion)\b)[a-z0-9]"),
+    ("some_licence", "[a-z0-9.+ ]+"),
 ]
 
+#: An identifier ends with a letter, a digit or a plus sign; a full stop after it ends the sentence.
+SPDX_WHOLE = r"(?i)(spdx-license-identifier[ \t:(]*[a-z0-9.+-]*[a-z0-9+])"
 #: An SPDX tag begins a sentence of its own, and so does each further identifier of its expression.
 SPDX_TAG = r"(?i)[\r\n][^a-zA-Z0-9\r\n]*spdx-license-identifier"
 SPDX_END = r"(?i)(spdx-license-identifier[^\r\n]*)[\r\n]"
@@ -138,11 +159,15 @@ HINT = "some_licence"
 
 
 def _ordered() -> list[tuple[str, str]]:
-    named = [r for r in SENTENCES if r[0].startswith("spdx_")] + SPDX
-    prose = [r for r in SENTENCES if not r[0].startswith("spdx_") and r[0] != HINT]
+    named = [(name, rf"spdx license identifier ({pattern}) [+] ") for name, pattern in SPDX]
+    prose = [r for r in SENTENCES if r[0] != HINT]
     return named + [r for r in prose if r[0] not in LAST] + [r for r in prose if r[0] in LAST]
 
 
+def _mark(name: str) -> str:
+    return f"<{name.upper()}> " if name else ""
+
+
 def sentence_ids(text: Column) -> Column:
     """The identifiers of the known sentences of a text, in order: all that a sentence contains, each once, by position.
 
@@ -150,14 +175,15 @@ def sentence_ids(text: Column) -> Column:
     """
     tags = F.regexp_replace(F.regexp_replace(text, SPDX_TAG, " . SPDX-License-Identifier"), SPDX_END, "$1 . ")
     tags = F.regexp_replace(tags, SPDX_OPERATOR, "$1$2 . SPDX-License-Identifier: $3")
+    tags = F.regexp_replace(tags, SPDX_WHOLE, "$1 + ")
     spelled = F.when(F.contains(F.translate(text, UPPER, LOWER), F.lit("spdx")), tags).otherwise(text)
-    normal = F.regexp_replace(F.translate(spelled, UPPER, LOWER), NOT_IN_SENTENCES, " ")
+    normal = F.regexp_replace(F.concat(F.translate(spelled, UPPER, LOWER), F.lit(" ")), NOT_IN_SENTENCES, " ")
     sentences = F.filter(F.split(normal, SENTENCE_END, -1), lambda s: s.rlike(KEYWORD))
 
     def identifiers(sentence: Column) -> Column:
         # What a pattern has matched becomes its name in capitals, which no later pattern can match or reach over.
         for name, pattern in _ordered():
-            sentence = F.regexp_replace(sentence, pattern.replace(".*", "[^<>]*"), f"<{name.upper()}>")
+            sentence = F.regexp_replace(sentence, pattern.replace(".*", "[^<>]*"), _mark(name))
         found = F.array_distinct(F.regexp_extract_all(sentence, F.lit("<([A-Z0-9_]+)>"), F.lit(1)))
         hint = F.array(F.lit(HINT.upper()))
         return F.when(F.size(found) > 0, found).when(sentence.rlike(dict(SENTENCES)[HINT]), hint).otherwise(F.slice(hint, 1, 0))
@@ -210,12 +236,31 @@ def _quoted(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
 
+#: For SQL, whose patterns cannot go on where the last match ended: one operator of each expression per pass.
+_ID = "[A-Za-z0-9.+-]"
+_SQL_OPERATOR = (
+    rf"((?i:spdx-license-identifier)[ \t:(]*{_ID}+(?:[ \t]+(?:WITH|with)[ \t]+{_ID}+)?)[ \t)]+"
+    rf"(?:(?:OR|AND)[ \t(]+({_ID}+)|(?:or|and)[ \t(]+([A-Z0-9]{_ID}*))"
+)
+SQL_OPERATORS = 8  # of one expression
+
+
 def _oracle() -> str:
-    cases = "\n".join(f"      WHEN regexp_matches(s, {_quoted(p)}) THEN '{name}'" for name, p in SENTENCES)
+    def replaced(value: str, pattern: str, by: str) -> str:
+        return f"regexp_replace({value}, {_quoted(pattern)}, {_quoted(by)}, 'g')"
+
+    spelled = replaced(replaced("text", SPDX_TAG, " . SPDX-License-Identifier"), SPDX_END, r"\1 . ")
+    for _ in range(SQL_OPERATORS):
+        spelled = replaced(spelled, _SQL_OPERATOR, r"\1 . SPDX-License-Identifier: \2\3")
+    spelled = replaced(spelled, SPDX_WHOLE, r"\1 + ")
+    marked, marks = "marks0", []
+    for i, (name, pattern) in enumerate(_ordered(), 1):
+        marks.append(f"marks{i} AS (SELECT r, p, whole, {replaced('s', pattern.replace('.*', '[^<>]*'), _mark(name))} AS s FROM {marked})")
+        marked = f"marks{i}"
     steps, last = [], "steps0"
     for i, (name, rule) in enumerate(RULES, 1):
         steps.append(
-            f"steps{i} AS (SELECT r, doc_id, ids, regexp_replace(rest, {_quoted(rule)}, '', 'g') AS rest,"
+            f"steps{i} AS (SELECT r, doc_id, ids, {replaced('rest', rule, '')} AS rest,"
             f" CASE WHEN regexp_matches(rest, {_quoted(rule)}) AND NOT list_contains(found, '{name}')"
             f" THEN list_append(found, '{name}') ELSE found END AS found FROM {last})"
         )
@@ -223,19 +268,26 @@ def _oracle() -> str:
     return f"""
 WITH docs AS (
   SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents
+), spelled AS (
+  SELECT r, translate(CASE WHEN contains(lower(text), 'spdx') THEN {spelled} ELSE text END, '{UPPER}', '{LOWER}') || ' ' AS s
+  FROM docs WHERE regexp_matches(text, {_quoted(KEYWORD_IN_TEXT)})
+), split AS (
+  SELECT r, string_split_regex(regexp_replace(s, '{NOT_IN_SENTENCES}', ' ', 'g'), '{SENTENCE_END}') AS parts FROM spelled
 ), sentences AS (
-  SELECT r, unnest(string_split_regex(regexp_replace(translate(text, '{UPPER}', '{LOWER}'),
-           '{NOT_IN_SENTENCES}', ' ', 'g'), '{SENTENCE_END}')) AS s, generate_subscripts(string_split_regex(
-           regexp_replace(translate(text, '{UPPER}', '{LOWER}'), '{NOT_IN_SENTENCES}', ' ', 'g'), '{SENTENCE_END}'), 1) AS p
-  FROM docs
+  SELECT r, unnest(parts) AS s, generate_subscripts(parts, 1) AS p FROM split
+), marks0 AS MATERIALIZED (
+  SELECT r, p, s AS whole, s FROM sentences WHERE regexp_matches(s, '{KEYWORD}')
+), {", ".join(marks)}, named AS (
+  SELECT r, p, s, regexp_extract_all(s, '<([A-Z0-9_]+)>', 1) AS names FROM {marked}
 ), known AS (
-  SELECT r, p, CASE
-{cases}
-    END AS id FROM sentences WHERE regexp_matches(s, '{KEYWORD}')
+  SELECT r, p, CASE WHEN len(names) > 0 THEN [n FOR n, i IN names IF list_position(names, n) = i]
+                    WHEN regexp_matches(s, {_quoted(dict(SENTENCES)[HINT])}) THEN ['{HINT.upper()}'] ELSE [] END AS names
+  FROM named
 ), found AS (
-  SELECT r, list(id ORDER BY p) AS ids FROM known WHERE id IS NOT NULL GROUP BY r
+  SELECT r, flatten(list(names ORDER BY p)) AS names FROM known GROUP BY r
 ), steps0 AS (
-  SELECT docs.r, doc_id, coalesce(ids, []) AS ids, array_to_string(coalesce(ids, []), ' ') || ' ' AS rest, []::VARCHAR[] AS found
+  SELECT docs.r, doc_id, [lower(n) FOR n IN coalesce(names, [])] AS ids,
+         lower(array_to_string(coalesce(names, []), ' ')) || ' ' AS rest, []::VARCHAR[] AS found
   FROM docs LEFT JOIN found USING (r)
 ), {", ".join(steps)}
 SELECT doc_id, array_to_string(ids, ',') AS sentence_ids, array_to_string(found, ',') AS licences,
