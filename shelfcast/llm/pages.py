@@ -28,12 +28,14 @@ RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "noembed",
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 #: Never part of an article.
 DROPPED = RAW | {
-    "aside", "audio", "button", "canvas", "datalist", "dialog", "footer", "form", "head", "map", "math", "menu", "nav",
-    "object", "select", "svg", "video",
+    "annotation", "annotation-xml", "aside", "audio", "button", "canvas", "datalist", "dialog", "footer", "head", "label",
+    "legend", "map", "menu", "nav", "object", "select", "svg", "video",
 }
+#: Of these, what stands on lines of its own; a formula's source, an icon or a button is left out of its line.
+BREAKS = {"aside", "dialog", "footer", "head", "legend", "menu", "nav"}
 BLOCK = {
     "address", "article", "blockquote", "body", "caption", "center", "dd", "details", "div", "dl", "dt", "fieldset",
-    "figcaption", "figure", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hgroup", "hr", "html", "li", "main", "ol", "p",
+    "figcaption", "figure", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hgroup", "hr", "html", "li", "main", "ol", "p",
     "pre", "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul",
 }
 #: An opening tag ends these open elements, if they are open inside the nearest of the elements named last.
@@ -67,6 +69,7 @@ TEXTUAL = HEADINGS | {
     "a", "abbr", "b", "blockquote", "caption", "cite", "code", "dd", "dfn", "dt", "em", "figcaption", "i", "li", "mark", "p", "pre",
     "q", "s", "small", "span", "strong", "sub", "summary", "sup", "td", "th", "tr", "u",
 }
+MOST = 0.5  # share of the page's characters from which a form is not a form but what holds the page
 LINKED = 0.5  # share of linked characters from which a doubtful element is surroundings
 ARTICLES = {"article", "main"}
 FRAME = {"html", "body"} | ARTICLES
@@ -124,18 +127,24 @@ class Tree:
         self.links, self.articles = [0], [0]  # open links and articles, at each element
         self.blocks: list[list[tuple[int, str]]] = [[]]
         self.doubtful: list[int] = []  # elements that a label marks as surroundings if they are mostly links
+        self.forms: list[int] = []
         self._read(page)
         self.gone = [False] * len(self.tag)
-        if self.doubtful:
-            self._drop_linked()
+        if self.doubtful or self.forms:
+            self._drop_doubtful()
 
-    def _drop_linked(self) -> None:
+    def _drop_doubtful(self) -> None:
+        """What is mostly links goes, and forms, unless one is only wrapped around an article or most of the page."""
         chars, linked = list(self.chars), list(self.linked)
+        articles = [tag in ARTICLES for tag in self.tag]
         for i in range(len(self.tag) - 1, 0, -1):
             chars[self.parent[i]] += chars[i]
             linked[self.parent[i]] += linked[i]
+            articles[self.parent[i]] |= articles[i]
         for i in self.doubtful:
             self.gone[i] = linked[i] > 0 and linked[i] >= LINKED * chars[i]
+        for i in self.forms:
+            self.gone[i] = not articles[i] and chars[i] < MOST * chars[0]
         for i in range(1, len(self.tag)):
             if self.gone[self.parent[i]]:
                 self.gone[i] = True
@@ -212,12 +221,15 @@ class Tree:
                     self._break()
                 dropped = _dropped(tag, attributes, self.articles[stack[-1]] > 0)
                 if dropped == 1:
-                    self._break()
+                    if tag in BREAKS:
+                        self._break()
                     if not attributes.endswith("/"):
                         skipped.append(tag)
                     continue
                 if dropped:
                     self.doubtful.append(len(self.tag))
+                if tag == "form":
+                    self.forms.append(len(self.tag))
                 self.tag.append(tag)
                 self.parent.append(stack[-1])
                 self.chars.append(0)
