@@ -106,12 +106,16 @@ def pack(lengths: np.ndarray, length: int) -> list[list[tuple[int, int, int]]]:
     return rows
 
 
-SCHEMA = (
-    "pack long, ids binary, positions binary, cu_seqlens array<int>, doc_ids array<long>, starts array<int>, n_tokens int"
-)
+def _schema(id_type: str) -> str:
+    return (
+        f"pack long, ids binary, positions binary, cu_seqlens array<int>, doc_ids array<{id_type}>, starts array<int>, n_tokens int"
+    )
 
 
-def _packed(number: int, documents: list[tuple[int | None, np.ndarray]], length: int, end_id: int) -> pa.RecordBatch:
+COLUMNS = ["pack", "ids", "positions", "cu_seqlens", "doc_ids", "starts", "n_tokens"]
+
+
+def _packed(number: int, documents: list[tuple], length: int, end_id: int, id_type: pa.DataType) -> pa.RecordBatch:
     lengths = np.array([len(t) for _, t in documents], np.int64)
     columns: list[list] = [[] for _ in range(7)]
     for i, segments in enumerate(pack(lengths, length)):
@@ -127,9 +131,8 @@ def _packed(number: int, documents: list[tuple[int | None, np.ndarray]], length:
                [s for _, s, _ in segments], bounds[-1])
         for column, value in zip(columns, row):
             column.append(value)
-    types = [pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.int32()]
-    names = [c.split()[0] for c in SCHEMA.split(", ")]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
+    types = [pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int32()), pa.list_(id_type), pa.list_(pa.int32()), pa.int32()]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], COLUMNS)
 
 
 def packed(
@@ -148,7 +151,7 @@ def packed(
     document's segments in order of ``starts`` are its tokens); ``n_tokens`` is without the filling; ``pack`` numbers rows.
 
     Every document ends with ``end_id``, so null and empty texts are one token, and no row of the input is lost; repeated rows
-    are packed each; an empty table gives no rows. Nothing is shuffled: a task packs the documents of its partition in
+    are packed each; an empty table gives no rows; ids keep their type. Nothing is shuffled: a task packs the documents of its partition in
     blocks of about ``block_tokens`` tokens, so it holds one block, and a lost task is repeated from its own input. Rows that
     are not full remain only at the end of a block. ``ranks`` (a vocabulary file) is read on the driver and sent along.
     """
@@ -158,22 +161,24 @@ def packed(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = Tokens(vocabulary.value)
         number = TaskContext.get().partitionId() << 40
-        held: list[tuple[int | None, np.ndarray]] = []
-        size = 0
+        held: list[tuple] = []
+        size, kind = 0, pa.int64()
         for batch in batches:
+            kind = batch.column(0).type
             for name, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 ids = np.append(tokens.of(text.as_py() or ""), np.int32(end_id))
                 held.append((name, ids))
                 size += len(ids)
                 if size >= block_tokens:
-                    out = _packed(number, held, length, end_id)
+                    out = _packed(number, held, length, end_id, kind)
                     number += out.num_rows
                     held, size = [], 0
                     yield out
         if held:
-            yield _packed(number, held, length, end_id)
+            yield _packed(number, held, length, end_id, kind)
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, SCHEMA)
+    schema = _schema(docs.schema["doc_id"].dataType.simpleString())
+    return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(run, schema)
 
 
 def op3_packing(spark: SparkSession, root: str) -> DataFrame:

@@ -183,7 +183,8 @@ def fit(docs: DataFrame, labels: DataFrame, *, target: str = "quality", rows: in
         if used + cost <= size:
             taken.append((doc_id,))
             used += cost
-    kept = docs.sparkSession.createDataFrame(taken, "doc_id long")
+    id_type = found.schema["doc_id"].dataType.simpleString()
+    kept = docs.sparkSession.createDataFrame(taken, f"doc_id {id_type}")
     found = found.join(F.broadcast(kept), "doc_id", "left_semi")  # bounded by ``rows``
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -194,7 +195,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, target: str = "quality", rows: in
                  "count": [c for _, c, _ in out], "small": [b for _, _, b in out]}
             )
 
-    data = found.mapInPandas(counted, "doc_id long, label int, index binary, count binary, small boolean").toPandas()
+    data = found.mapInPandas(counted, f"doc_id {id_type}, label int, index binary, count binary, small boolean").toPandas()
     data = data.sort_values("doc_id")
     return train(Rows(list(zip(data["index"], data["count"], data["small"]))), data["label"].to_numpy())
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from shelfcast.llm.common import powers, staged, table
+from shelfcast.llm.common import powers, staged, table, unused
 
 MIN_BYTES = 400
 ANCHOR_BYTES = 64
@@ -335,9 +335,9 @@ def without_repeats(docs: DataFrame, column: str = "text", *, min_bytes: int = M
                            ("kept", pa.binary())]),
             )
 
-    joined = texts.join(spans, ["a", "b"], "left").withColumn("_cut", cut("text", "spans"))
+    joined = texts.join(spans, ["a", "b"], "left").withColumn(found := unused(docs, "_cut"), cut("text", "spans"))
     extra = [c for c in docs.columns if c not in {"n_bytes", "removed", "kept", "spans", "a", "b"}]
-    return joined.select(*extra, "_cut.*")
+    return joined.select(*extra, f"{found}.*")
 
 
 def _cut(data: bytes, spans: list[dict] | None, min_bytes: int) -> dict:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from shelfcast.llm.common import ascii_words, parts, table
+from shelfcast.llm.common import ascii_words, parts, table, unused
 
 MIN_REPEAT = 12  # words: a shorter repeat is no repeat for the method
 MAX_COVERED = 0.25  # fraction of words inside repeats
@@ -179,8 +179,8 @@ def op2_repetition(spark: SparkSession, root: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, root: str) -> DataFrame:
     """Pipeline stage: the documents that the rules keep."""
-    columns = docs.columns
-    return with_repetition(docs, name="_repetition").where("_repetition.kept").select(*columns)
+    name = unused(docs, "_repetition")
+    return with_repetition(docs, name=name).where(f"{name}.kept").select(*docs.columns)
 
 
 _SPLIT = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
