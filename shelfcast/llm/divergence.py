@@ -91,8 +91,8 @@ def term_counts(docs: DataFrame) -> DataFrame:
     """Columns of ``_COUNTS``: for each lang, source and term its occurrences ``n`` and the documents with it, ``d``.
 
     ``docs`` has ``lang, source, text`` without nulls. Texts are grouped by a 128-bit identity per language; the copies
-    in each source are counted without moving texts, and one text of a group is tokenised. Partial counts are summed on
-    the map side, by language, source and term.
+    in each source are counted without moving texts, and one text of a group is tokenised. A task sums the counts of its
+    texts before they are shuffled, by language and term: what is partitioned by these stays so for the steps per term.
     """
     named = docs.withColumns({"a": F.xxhash64("text"), "b": F.xxhash64(F.lit(1), "text")})
     copies = (
@@ -105,6 +105,7 @@ def term_counts(docs: DataFrame) -> DataFrame:
     collapsed = texts.join(copies, ["lang", "a", "b"]).select("lang", F.col("text").cast("binary"), "copies")
     return (
         collapsed.mapInArrow(_counted, _COUNTS)
+        .repartition("lang", "term")
         .groupBy("lang", "source", "term")
         .agg(F.sum("n").alias("n"), F.sum("d").alias("d"))
     )
@@ -204,15 +205,12 @@ def audit(docs: DataFrame, *, min_documents: int = MIN_DOCUMENTS, top_terms: int
     the only ones looked at pair by pair; their sums leave a task, the pairs don't. Pairs of sources are as many as the result has rows.
     """
     docs = docs.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")))
-    counts = staged(term_counts(docs), "terms")
-    kept = (
-        counts.groupBy("lang", "term")
-        .agg(F.sum("n").alias("total"), F.sum("d").alias("d"))
-        .where(F.col("d") >= min_documents)
-        .drop("d")
+    term = Window.partitionBy("lang", "term")
+    counts = term_counts(docs).withColumns(
+        {"total": F.sum("n").over(term), "documents": F.sum("d").over(term), "place": F.row_number().over(term.orderBy("source"))}
     )
-    found = staged(counts.join(kept, ["lang", "term"]).drop("d"), "kept")
-    languages = kept.groupBy("lang").agg(F.count("*").alias("terms"), F.sum("total").alias("words"))
+    found = staged(counts.where(F.col("documents") >= min_documents).drop("d", "documents"), "kept")
+    languages = found.groupBy("lang").agg(F.count_if(F.col("place") == 1).alias("terms"), F.sum("n").alias("words"))
     sizes = found.groupBy("lang", "source").agg(F.sum("n").alias("size"))
     groups = docs.select("lang", "source").distinct().join(sizes, ["lang", "source"], "left").join(languages, "lang", "left")
     groups = groups.select("lang", "source", F.coalesce("size", F.lit(0)).alias("size"), "terms", "words")
