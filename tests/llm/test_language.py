@@ -133,3 +133,12 @@ def test_penalty_and_temperature():
     assert language.temperature(logits, truth) == pytest.approx(3, rel=0.02)
     assert language.temperature(np.zeros((0, 2)), truth[:0]) == 1.0
     assert math.isfinite(language.temperature(np.array([[50.0, 0.0]] * 5), truth[:5]))
+
+
+def test_the_sample_is_full_and_balanced_whatever_the_number_of_texts(spark, monkeypatch):
+    rows = [(i, f"the river {i}{'abcdefghij'[i % 10]} {'klmnopqrst'[i // 10 % 10]}{'abcdefghij'[i // 100 % 10]}{'xyz'[i // 1000]}", "en") for i in range(3000)]
+    rows += [(10_000 + i, f"der stein {'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10]}", "de") for i in range(100)]
+    seen, train = [], language.train
+    monkeypatch.setattr(language, "train", lambda rows, labels, *a: seen.append(np.bincount(labels).tolist()) or train(rows, labels, *a))
+    language.fit(spark.createDataFrame(rows, SCHEMA), rows=40)
+    assert sum(seen[0]) == 40 - 4 and abs(seen[0][0] - seen[0][1]) <= 2
