@@ -205,7 +205,9 @@ def fit(docs: DataFrame, *, rows: int = TRAIN_ROWS, ngrams: int = TRAIN_NGRAMS)
     texts = staged(usable.groupBy("lang", key).agg(F.min(F.length("text")).alias("n")), "different-texts")
     # One of so many texts of a language by hash: about four times ``rows`` of them are ranked, however many there are.
     share = F.ceil(F.count("*") / F.lit(4 * rows)).alias("share")
-    some = texts.join(texts.groupBy("lang").agg(share), "lang").where(F.pmod(F.xxhash64("h"), F.col("share")) == 0)
+    # Stored, so that Spark knows the size: shares of a few languages are broadcast, and texts are filtered where they lie.
+    shares = staged(texts.groupBy("lang").agg(share), "shares")
+    some = texts.join(shares, "lang").where(F.pmod(F.xxhash64("h"), F.col("share")) == 0)
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("h"), "h"))
     ranked = some.withColumn("place", place).where(F.col("place") <= rows)
     taken, used = [], 0
