@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast.sources.tables import materialise
@@ -75,6 +75,30 @@ def parts(texts: pa.Array, size: int = 2 << 20) -> Iterator[pa.Array]:
         at = end
 
 
+SIEVE_BITS = 26
+
+
+def sifted(rows: DataFrame, keys: DataFrame, column: str, flag: str, *, bits: int = SIEVE_BITS) -> DataFrame:
+    """Adds ``flag`` to ``rows``: true wherever a row of ``keys`` has the same ``column``, a long hash, and by chance
+    for some others; false for the rest, which a join with ``keys`` need not move.
+
+    Keys are kept as one bit each of ``2 ** bits``. So 8 MB are broadcast at most, however many keys there are; more of
+    them only let more rows through. Null hashes are false. ``keys`` is read when the result is evaluated.
+    """
+
+    def place(of: DataFrame) -> Column:
+        return F.pmod(of[column], F.lit(1 << bits)) + 1
+
+    bucket, held = unused(rows, "_bucket"), unused(rows, "_held")
+    sieve = keys.groupBy(F.bitmap_bucket_number(place(keys)).alias(bucket)).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place(keys))).alias(held)
+    )
+    at = F.bitmap_bit_position(place(rows)).cast("int")
+    byte = F.conv(F.hex(F.substring(F.col(held), F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    met = rows.join(F.broadcast(sieve), F.bitmap_bucket_number(place(rows)) == F.col(bucket), "left")
+    return met.withColumn(flag, F.coalesce(F.getbit(byte, at % 8) == 1, F.lit(False))).drop(bucket, held)
+
+
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Label every node of ``edges`` with the smallest node reachable from it: columns ``node`` and ``root``.
 

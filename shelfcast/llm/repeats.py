@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from shelfcast.llm.common import powers, staged, table, unused
+from shelfcast.llm.common import powers, sifted, staged, table, unused
 
 MIN_BYTES = 400
 ANCHOR_BYTES = 64
@@ -260,7 +260,8 @@ def repeated_windows(
     starts from ``start`` on. ``texts`` has ``a, b, text`` of ``identified``, with copies.
 
     Only hashes of the pieces are shuffled for all texts; the bytes follow for one piece of each different content
-    whose anchor others share, which copies and unrelated texts do not need.
+    whose anchor others share, from texts that have such pieces (``sifted``): copies and unrelated texts stay where
+    they are.
     """
     pieces = staged(texts.select("a", "b", "text").mapInArrow(_index(Anchors(min_bytes, anchor_bytes)), _PIECES), "pieces")
     # Stored, like the groups below: a join right after the aggregation would use its shuffle, and a hot anchor's pieces
@@ -288,13 +289,15 @@ def repeated_windows(
     # Contents of one key that are all copied need no rounds, nor do keys where nothing is single.
     groups = contents.groupBy("key").agg(F.count("*").alias("members"), F.min("copies").alias("fewest"))
     groups = staged(groups.where("members > 1 AND fewest = 1"), "groups")
-    wanted = (
+    wanted = staged(
         contents.join(groups, "key")
         .select("one.*", "key", "content", "copies", "members")
         .groupBy("a", "b")
-        .agg(F.collect_list(F.struct("start", "windows", "at", "key", "content", "copies", "members")).alias("pieces"))
+        .agg(F.collect_list(F.struct("start", "windows", "at", "key", "content", "copies", "members")).alias("pieces")),
+        "wanted",
     )
-    source = texts.groupBy("a", "b").agg(F.first("text").alias("text"))
+    likely = sifted(texts.select("a", "b", "text"), wanted, "a", "likely").where("likely")
+    source = likely.groupBy("a", "b").agg(F.first("text").alias("text"))
     columns = f"{_TEXTS}, members long"
     cut = _slices(min_bytes)
 
@@ -319,11 +322,12 @@ def without_repeats(docs: DataFrame, column: str = "text", *, min_bytes: int = M
     A byte goes if a string of ``min_bytes`` bytes that covers it starts anywhere else, in any text or the same one.
     Null texts are empty; texts shorter than that keep everything; of equal longer texts nothing is left. Every row
     gives a row; an empty table gives none. Texts are joined with their spans by their identity, an equi-join in which
-    adaptive execution splits a hot one.
+    adaptive execution splits a hot one; only texts that may have spans are moved for it (``sifted``).
     """
     texts = identified(docs.drop("n_bytes", "removed", "kept", "spans"), column)
     windows = repeated_windows(texts, min_bytes=min_bytes, **options)
     spans = windows.groupBy("a", "b").agg(F.collect_set(F.struct("start", "windows")).alias("spans"))
+    spans = staged(spans, "spans")
 
     @arrow_udf("n_bytes long, removed array<struct<start:long,end:long>>, kept binary")
     def cut(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
@@ -335,7 +339,11 @@ def without_repeats(docs: DataFrame, column: str = "text", *, min_bytes: int = M
                            ("kept", pa.binary())]),
             )
 
-    joined = texts.join(spans, ["a", "b"], "left").withColumn(found := unused(docs, "_cut"), cut("text", "spans"))
+    likely = unused(texts, "_likely")
+    sieved = sifted(texts, spans, "a", likely)
+    met = sieved.where(likely).join(spans, ["a", "b"], "left")
+    unmet = sieved.where(~F.col(likely)).withColumn("spans", F.lit(None).cast(spans.schema["spans"].dataType))
+    joined = met.unionByName(unmet).withColumn(found := unused(docs, "_cut"), cut("text", "spans"))
     extra = [c for c in docs.columns if c not in {"n_bytes", "removed", "kept", "spans", "a", "b"}]
     return joined.select(*extra, f"{found}.*")
 

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfcast.llm import repeats
+from shelfcast.llm.common import sifted
 
 
 def brute(texts, n):
@@ -77,3 +78,30 @@ def test_a_column_of_the_temporary_name_passes_through(spark):
     out = repeats.without_repeats(docs, min_bytes=50, anchor_bytes=12)
     assert out.columns == ["doc_id", "text", "_cut", "n_bytes", "removed", "kept"]
     assert [(r._cut, r.n_bytes, len(r.kept)) for r in out.collect()] == [("mine", 120, 0)] * 2
+
+
+@pytest.mark.parametrize("bits", [3, 16, 26])
+def test_a_sieve_loses_no_key(spark, bits):
+    rows = spark.range(400).select("id", F.xxhash64("id").alias("h"), F.lit("x").alias("_held"), F.lit(1).alias("_bucket"))
+    rows = rows.unionByName(spark.createDataFrame([(-1, None, "x", 1)], "id long, h long, _held string, _bucket int"))
+    keys = rows.where("id % 5 = 0").select("h").unionByName(rows.select("h").limit(3))
+    out = sifted(rows, keys, "h", "may", bits=bits)
+    assert out.columns == [*rows.columns, "may"]
+    got = {r.id: r.may for r in out.collect()}
+    assert len(got) == 401 and not got[-1]
+    assert all(got[i] for i in range(0, 400, 5))
+    if bits == 26:
+        assert sum(got.values()) < 90
+    assert not any(r.may for r in sifted(rows, keys.limit(0), "h", "may", bits=bits).collect())
+
+
+def test_texts_without_spans_keep_their_place_among_the_rows(spark):
+    rng = random.Random(5)
+    own = ["".join(rng.choices("abcdefgh ", k=200)) for _ in range(30)]
+    texts = own + own[:2] + [own[3][:100] + "y"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("_likely", F.lit("mine"))
+    out = repeats.without_repeats(docs, min_bytes=50, anchor_bytes=12)
+    rows = sorted(out.collect(), key=lambda r: r.doc_id)
+    assert [r["_likely"] for r in rows] == ["mine"] * len(texts)
+    got = [(r.n_bytes, r.n_bytes - len(r.kept), len(r.removed), hashlib.sha256(r.kept).hexdigest()) for r in rows]
+    assert got == brute(texts, 50)
