@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Generator, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -32,8 +32,11 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return ((x ^ (x >> np.uint64(29))) % np.uint64(BUCKETS)).astype(np.int64)
 
 
-def _buckets_of(data: np.ndarray) -> Iterator[np.ndarray]:
-    """Buckets of all words, pairs of words and n-grams, of bytes in which white space is single spaces, one at either end."""
+def _buckets_of(data: np.ndarray, before: np.ndarray) -> Generator[np.ndarray, None, np.ndarray]:
+    """Buckets of all words, pairs of words and n-grams, of bytes in which white space is single spaces, one at either end.
+
+    ``before`` has the word before them, if there is one; returns the last word in the same form.
+    """
     space = data == 32
     wide = data.astype(np.uint64)
     value = wide.copy()
@@ -58,24 +61,34 @@ def _buckets_of(data: np.ndarray) -> Iterator[np.ndarray]:
         word = sums[ends] - sums[starts]
         yield _mixed(word)
         # pairs of words; a word after itself is one and the same pair for all words
-        pair = word[:-1] * np.uint64(31) + word[1:]
-        yield _mixed(np.where(word[:-1] == word[1:], REPEATED, pair))
+        chain = np.append(before, word)
+        pair = chain[:-1] * np.uint64(31) + chain[1:]
+        yield _mixed(np.where(chain[:-1] == chain[1:], REPEATED, pair))
+        before = word[-1:]
+    return before
+
+
+def _bounded(words: list[bytes]) -> Iterator[bytes]:
+    for word in words:
+        for at in range(0, len(word), PART // 2):
+            yield word[at : at + PART // 2]
 
 
 def buckets(text: str | None) -> Iterator[np.ndarray]:
-    """The buckets of a whole text, in parts of bounded size; a pair of words across two parts is left out."""
+    """The buckets of a whole text, in parts of bounded size. A word of more than half a part is taken as several words."""
     words = (text or "").encode("utf-8", "replace").split()
-    joined = b" " + b" ".join(words) + b" "
     if not words:
         return
-    at = 0
+    if max(map(len, words)) > PART // 2:
+        words = list(_bounded(words))
+    joined = b" " + b" ".join(words) + b" "
+    at, last = 0, np.zeros(0, np.uint64)
     while at < len(joined) - 1:
         end = min(at + PART, len(joined))
         if end < len(joined):
-            cut = joined.rfind(b" ", at + 1, end)
-            end = cut + 1 if cut > at else end
-        yield from _buckets_of(np.frombuffer(joined[at:end], np.uint8))
-        at = end - 1 if end < len(joined) else end
+            end = joined.rfind(b" ", at + 1, end) + 1  # there is one, as no word fills the part
+        last = yield from _buckets_of(np.frombuffer(joined[at:end], np.uint8), last)
+        at = end - 1
 
 
 def shares(text: str | None) -> tuple[np.ndarray, np.ndarray]:
