@@ -27,6 +27,7 @@ MIN_BYTES = 400
 ANCHOR_BYTES = 64
 CUT_BYTES = 1 << 20  # longer texts are indexed in overlapping cuts
 BLOCK_BYTES = 8 << 20  # pieces that go through the rounds together
+HOT_CONTENTS = 1 << 12  # a content with more than this part of all pieces is hot: there are fewer than this many
 GROUP_PIECES = 1 << 16  # larger groups are compared window by window, see ``_crowded``
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -282,8 +283,15 @@ def repeated_windows(
         ),
         "contents",
     )
+    # Contents that hold a large share of all pieces (a passage everywhere, a text that repeats itself) are few, and
+    # found without a shuffle, so that none of them fills a task.
+    total = contents.agg(F.sum("copies")).first()[0] or 0
+    by = ["key", "content"]
+    hot = F.broadcast(contents.where(F.col("copies") > max(1, total // HOT_CONTENTS)).select(by))
+    others = contents.where(F.col("copies").between(2, max(1, total // HOT_CONTENTS))).select(by)
     copied = (
-        mixed.join(contents.where("copies > 1").select("key", "content"), ["key", "content"], "left_semi")
+        mixed.join(hot, by, "left_semi")
+        .unionByName(mixed.join(hot, by, "left_anti").join(others, by, "left_semi"))
         .select("a", "b", "start", F.col("windows").cast("long"))
     )
     # Contents of one key that are all copied need no rounds, nor do keys where nothing is single.

@@ -105,3 +105,17 @@ def test_texts_without_spans_keep_their_place_among_the_rows(spark):
     assert [r["_likely"] for r in rows] == ["mine"] * len(texts)
     got = [(r.n_bytes, r.n_bytes - len(r.kept), len(r.removed), hashlib.sha256(r.kept).hexdigest()) for r in rows]
     assert got == brute(texts, 50)
+
+
+@pytest.mark.parametrize("hot", [2, 8, 1 << 12])
+def test_hot_contents_are_found_like_others(spark, monkeypatch, hot):
+    monkeypatch.setattr(repeats, "HOT_CONTENTS", hot)
+    rng = random.Random(hot)
+    passage = "".join(rng.choices("abcdefgh ", k=90))
+    texts = ["".join(rng.choices("abcdefgh ", k=60)) + passage + "".join(rng.choices("abcdefgh ", k=60)) for _ in range(25)]
+    texts += ["xy " * 150, "xy " * 40 + "z", *corpus(rng, "abcdefgh", 20)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = repeats.without_repeats(docs, min_bytes=50, anchor_bytes=12)
+    rows = sorted(out.collect(), key=lambda r: r.doc_id)
+    got = [(r.n_bytes, r.n_bytes - len(r.kept), len(r.removed), hashlib.sha256(r.kept).hexdigest()) for r in rows]
+    assert got == brute(texts, 50)
