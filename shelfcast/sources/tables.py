@@ -96,10 +96,10 @@ def stored_so_far() -> int:
     return len(_stored_paths)
 
 
-def release(spark: SparkSession, since: int = 0) -> None:
-    """Remove the intermediate tables stored since a mark. Their readers must be done."""
+def release(spark: SparkSession, since: int = 0, until: int | None = None) -> None:
+    """Remove the intermediate tables stored since a mark, or between two. Their readers must be done."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    for path in _stored_paths[since:]:
+    for path in _stored_paths[since:until]:
         folder = jvm.org.apache.hadoop.fs.Path(path)
         folder.getFileSystem(conf).delete(folder, True)
-    del _stored_paths[since:]
+    del _stored_paths[since:until]

@@ -183,6 +183,12 @@ def test_intermediate_tables_are_removed_when_their_reader_is_done(spark, tmp_pa
     materialise(spark.range(3), "numbers")
     release(spark, mark)
     assert set(stage.iterdir()) == before
+    materialise(spark.range(4), "early")
+    late = materialise(spark.range(3), "late")
+    release(spark, mark, mark + 1)
+    assert late.count() == 3 and len(set(stage.iterdir()) - before) == 1
+    release(spark, mark)
+    assert set(stage.iterdir()) == before
 
 
 def test_a_failing_rerun_leaves_its_cycle(spark, tmp_path):
