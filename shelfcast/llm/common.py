@@ -10,13 +10,20 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.sources.tables import materialise
+from shelfcast.sources.tables import materialise, release, stored_so_far
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, since: int | None = None) -> DataFrame:
     """Write an intermediate result to the shared folder and read it back: the lineage ends there, so a lost executor
-    costs the stage it ran, and several readers share one computation."""
-    return materialise(df, f"llm-{name}")
+    costs the stage it ran, and several readers share one computation.
+
+    With ``since``, a mark of `stored_so_far`, tables staged from there on are removed as soon as this one is written:
+    for those that nothing but this one reads."""
+    until = stored_so_far()
+    out = materialise(df, f"llm-{name}")
+    if since is not None:
+        release(df.sparkSession, since, until)
+    return out
 
 
 def unused(df: DataFrame, name: str) -> str:
@@ -103,10 +110,11 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     """Label every node of ``edges`` with the smallest node reachable from it: columns ``node`` and ``root``.
 
     Alternates large-star and small-star steps until nothing changes; each step is aggregations (with map-side partial
-    sums) and joins, and is written to the shared folder. A star with very many leaves stays a skewed join, which
+    sums) and joins, and is written to the shared folder in place of the one before. A star with very many leaves stays a skewed join, which
     adaptive execution splits. Rounds grow with the logarithm of the longest chain. Null nodes are ignored; no edges
     give no rows.
     """
+    mark = stored_so_far()
     links = staged(
         edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct(), "links"
     )
@@ -131,7 +139,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
 
     before = digest(links)
     while before[0]:
-        links = staged(stars(stars(links, True), False), "links")
+        links = staged(stars(stars(links, True), False), "links", since=mark)
         after = digest(links)
         if after == before:
             break

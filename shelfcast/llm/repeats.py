@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from shelfcast.llm.common import powers, sifted, staged, table, unused
+from shelfcast.sources.tables import stored_so_far
 
 MIN_BYTES = 400
 ANCHOR_BYTES = 64
@@ -332,10 +333,11 @@ def without_repeats(docs: DataFrame, column: str = "text", *, min_bytes: int = M
     gives a row; an empty table gives none. Texts are joined with their spans by their identity, an equi-join in which
     adaptive execution splits a hot one; only texts that may have spans are moved for it (``sifted``).
     """
+    mark = stored_so_far()
     texts = identified(docs.drop("n_bytes", "removed", "kept", "spans"), column)
     windows = repeated_windows(texts, min_bytes=min_bytes, **options)
     spans = windows.groupBy("a", "b").agg(F.collect_set(F.struct("start", "windows")).alias("spans"))
-    spans = staged(spans, "spans")
+    spans = staged(spans, "spans", since=mark)
 
     @arrow_udf("n_bytes long, removed array<struct<start:long,end:long>>, kept binary")
     def cut(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from shelfcast.llm.common import connected_components, staged, table, unused
+from shelfcast.sources.tables import stored_so_far
 
 SHINGLE_WORDS = 3
 MAX_BITS = 2
@@ -265,8 +266,9 @@ def near_duplicates(
         "fingerprints",
     )
     points = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "points")
+    mark = stored_so_far()
     links = link_fingerprints(points, max_bits, shard_points=shard_points, sample_points=sample_points)
-    labels = staged(connected_components(links), "labels")
+    labels = staged(connected_components(links), "labels", since=mark)
     ids = (
         points.join(labels, points["fp"] == labels["node"])
         .groupBy("root")
@@ -294,9 +296,10 @@ def stage(spark: SparkSession, docs: DataFrame, root: str) -> DataFrame:
     Rows are told apart by id and text: unlike texts under one id are in components of their own, and one row of each
     stays; of texts alike under one id it is the one with the smaller hash, whatever the partitioning.
     """
+    mark = stored_so_far()
     one, two = unused(docs, "_row"), unused(docs, "_text")
     named = docs.withColumns({one: F.xxhash64("doc_id", "text"), two: F.xxhash64(F.lit(1), "text", "doc_id")})
     found = near_duplicates(named, carried=[one, two])
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", one, two)).alias("first")
     keep = found.groupBy("component_fp").agg(first).select(f"first.{one}", f"first.{two}")
-    return named.join(staged(keep, "kept"), [one, two], "left_semi").dropDuplicates([one, two]).select(*docs.columns)
+    return named.join(staged(keep, "kept", since=mark), [one, two], "left_semi").dropDuplicates([one, two]).select(*docs.columns)
