@@ -2,12 +2,15 @@
 
 import random
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
 
 import corpus_pipeline
-from shelfcast.llm import mixing, packing, repetition, simhash
+from shelfcast.llm import decontamination, mixing, packing, repeats, repetition, simhash
+from shelfcast.llm.common import connected_components
+from shelfcast.sources.tables import release, stage_root, stored_so_far
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 SYLLABLES = [a + b for a in "bcdfglmnprst" for b in "aeiou"]
@@ -153,3 +156,30 @@ def test_rows_without_id_are_dealt_out(spark):
         assert parts > 1 and "_place" not in out.columns
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_intermediate_tables_go_when_their_reader_is_stored(spark, folder):
+    root, mark = Path(stage_root(spark)), stored_so_far()
+    before = set(root.iterdir()) if root.exists() else set()
+
+    def left():
+        names = sorted(p.name.rsplit("-", 1)[0] for p in set(root.iterdir()) - before)
+        assert len(names) == stored_so_far() - mark
+        return names
+
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    path = spark.createDataFrame([(i, i + 1) for i in range(40)], "a long, b long")
+    assert {r.root for r in connected_components(path).collect()} == {0} and left() == ["llm-links"]
+    release(spark, mark)
+    simhash.near_duplicates(docs).count()
+    assert left() == ["llm-fingerprints", "llm-labels", "llm-points"]
+    release(spark, mark)
+    repeats.without_repeats(docs).count()
+    assert left() == ["llm-spans"]
+    release(spark, mark)
+    decontamination.with_leaks(docs, spark.read.parquet(f"{folder}/benchmark.parquet")).count()
+    assert left() == []
+    rows = corpus_pipeline.run(spark, folder).collect()
+    assert rows and left() == ["llm-mixing"]  # the last stage reads it
+    release(spark, mark)
+    assert set(root.iterdir()) == before
