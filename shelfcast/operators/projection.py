@@ -7,6 +7,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfcast.sources.tables import materialise
+
 # Supply status as stored -> column it is summed into. None is the missing status.
 SUPPLY_COLUMNS: dict[str, str | None] = {
     "Confirmed_Supply": "Confirmed",
@@ -207,10 +209,13 @@ def site_balance(forecast: DataFrame, supply: DataFrame, stock: DataFrame, *, sp
     A material's forecast of a month is split among its sites by their shares, see `site_shares`; receipts count at their own
     site, those without site at the first one. So sites add up to the material. A material without any stock row keeps one row
     per month, without site and opening stock.
+
+    The shares are evaluated and stored here and now: forecast, receipts and opening stock read them, and no task sorts the
+    sites for several of them at once.
     """
     if spine not in SPINES:
         raise ValueError(f"spine must be one of {SPINES}, not {spine!r}")
-    sites = site_shares(stock, supply)
+    sites = materialise(site_shares(stock, supply), "site-shares")
     monthly = forecast_by_month(forecast)
     units = F.col("Forecast_Units")
     to_here = F.expr("(Forecast_Units * To_Share) div All_Shares")
@@ -218,7 +223,9 @@ def site_balance(forecast: DataFrame, supply: DataFrame, stock: DataFrame, *, sp
     split = monthly.join(sites, "Material_ID", "left").select(
         "Month", *STOCK_KEYS, F.when(F.col("All_Shares").isNull(), units).otherwise(to_here - before).alias("Forecast_Units")
     )
-    first = sites.groupBy(F.col("Material_ID").alias("_material")).agg(F.first("First_Site").alias("_first"))
+    first = sites.where(F.col("Site_ID").eqNullSafe(F.col("First_Site.Site_ID"))).select(
+        F.col("Material_ID").alias("_material"), F.col("First_Site").alias("_first")
+    )
     receipts = (
         supply.groupBy(F.col("Receipt_Month").alias("Month"), *STOCK_KEYS)
         .agg(*[F.sum(_units_with_status(status)).alias(column) for column, status in SUPPLY_COLUMNS.items()])

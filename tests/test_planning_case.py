@@ -428,3 +428,11 @@ def test_threshold(t):
 def test_unknown_options_are_rejected(t, option):
     with pytest.raises(ValueError, match="must be one of"):
         cycle.analysis_of(t, **option)
+
+
+def test_shares_of_sites_are_computed_once(two_sites):
+    stock = projection.opening_stock(two_sites.inventory)
+    flow = projection.site_balance(two_sites.forecast, two_sites.supply, stock)
+    assert "Window" not in flow._jdf.queryExecution().optimizedPlan().toString()
+    got = keyed(flow, "Starting_Inventory", "Forecast_Units", key=("Site_ID", "Month"))
+    assert got == {("S1", M1): (10, 5), ("S1", M2): (10, 5), ("S2", M1): (20, 10), ("S2", M2): (20, 10)}
