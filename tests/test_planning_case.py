@@ -431,7 +431,7 @@ def test_unknown_options_are_rejected(t, option):
 
 
 def test_shares_of_sites_are_computed_once(two_sites):
-    stock = projection.opening_stock(two_sites.inventory)
+    stock = projection.opening_stock(two_sites.inventory, site_mode="by_site")
     flow = projection.site_balance(two_sites.forecast, two_sites.supply, stock)
     assert "Window" not in flow._jdf.queryExecution().optimizedPlan().toString()
     got = keyed(flow, "Starting_Inventory", "Forecast_Units", key=("Site_ID", "Month"))
