@@ -40,7 +40,7 @@ CONTACT = r"(?i)\b(?:call|phone|tel|mobile|fax|mail|e-?mail|contact|write|card|v
 NUMBER = r"(?i)\b(?:token|key|id|no|nr|order|invoice|version|isbn|sku|page|fig|table|total|sum|price)\b"
 CONTEXT = 32  # code points read on either side of a candidate
 
-SAMPLE = 20_000  # candidates that the trees are fitted on, at most
+TASK_CANDIDATES = 20_000  # candidates of a task, about, when the trees are fitted
 TREES, DEPTH = 20, 4
 PRECISION = 0.95  # of the held-out candidates that a kind's threshold lets pass
 WEAK = 0.2  # weight of a candidate that no rule confirms, but that is well-formed in another spelling
@@ -237,19 +237,18 @@ def _scored(candidates: DataFrame, model: tuple) -> DataFrame:
     return margins.withColumn("_score", F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.lit(weight) * F.col("_margin") + F.lit(offset)))))
 
 
-def fit(candidates: DataFrame, *, sample: int = SAMPLE, precision: float = PRECISION) -> tuple[tuple, dict[str, float]] | None:
+def fit(candidates: DataFrame, *, per_task: int = TASK_CANDIDATES, precision: float = PRECISION) -> tuple[tuple, dict[str, float]] | None:
     """Boosted trees, and a calibrated threshold per kind, from ``examples`` of candidates.
 
-    About ``sample`` candidates at most, one of so many by a hash, are used: four fifths for the trees, the rest to calibrate the margin
-    (logistic) and to find the least threshold that keeps the precision; a kind without held-out candidates passes at 0.5,
-    one that reaches the precision nowhere does not pass. None if there is only one class to learn.
+    All candidates are used, in as many parts as they fill with about ``per_task`` each: four fifths for the trees, the rest
+    to calibrate the margin (logistic) and to find the least threshold that keeps the precision; a kind without held-out
+    candidates passes at 0.5, one that reaches the precision nowhere does not pass. None if there is only one class to learn.
     """
     names = list(features())
-    one_of = max(1, -(-candidates.count() // sample))
+    tasks = max(1, -(-candidates.count() // per_task))
     chosen = staged(
-        candidates.where(F.pmod(F.xxhash64("row", "start", "kind"), F.lit(one_of)) == 0)
-        .withColumn("_fold", F.pmod(F.xxhash64("_match", "kind"), F.lit(5)))
-        .repartition(1)  # a shuffle of the sample only: the scan before it stays parallel
+        candidates.withColumn("_fold", F.pmod(F.xxhash64("_match", "kind"), F.lit(5)))
+        .repartition(tasks, "row", "start", "kind")  # a shuffle of the candidates only: the scan before it stays parallel
         .sortWithinPartitions("row", "start", "kind"),
         "candidates",
     )
@@ -298,7 +297,7 @@ def _joined(spans: Column) -> Column:
     )
 
 
-def find_personal_data(docs: DataFrame, column: str = "text", *, sample: int = SAMPLE) -> DataFrame:
+def find_personal_data(docs: DataFrame, column: str = "text", *, per_task: int = TASK_CANDIDATES) -> DataFrame:
     """Per row of ``docs``: ``doc_id``, ``base`` (the spans of the rules) and ``spans`` (these, and the candidates that the
     trees let pass and no base span overlaps), as arrays of structs of kind, start, end (code points, end exclusive).
 
@@ -317,7 +316,7 @@ def find_personal_data(docs: DataFrame, column: str = "text", *, sample: int = S
     )
     found = staged(found.withColumn("row", F.monotonically_increasing_id()), "spans")
     candidates = found.where(F.size("wide") > 0).select("row", "base", F.explode("wide").alias("c")).select("row", "base", "c.*")
-    model = fit(examples(candidates), sample=sample)
+    model = fit(examples(candidates), per_task=per_task)
     if model is None:
         return found.select("doc_id", "base", F.col("base").alias("spans"))
     trees, thresholds = model

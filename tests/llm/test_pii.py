@@ -116,6 +116,22 @@ def test_sample_is_filtered_in_parallel(spark, monkeypatch):
     assert "Coalesce " not in plans["candidates"] and "Exchange SinglePartition" in plans["candidates"]
 
 
+def test_trees_learn_from_all_candidates(spark, monkeypatch):
+    stored, plans, staged = {}, {}, pii.staged
+
+    def seen(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        stored[name] = staged(df, name)
+        return stored[name]
+
+    monkeypatch.setattr(pii, "staged", seen)
+    lines = [f"call +1 ({200 + i}) 555-{1000 + i}, order {1000 + i} {2000 + i} {3000 + i}" for i in range(100)]
+    pii.find_personal_data(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string"), per_task=30)
+    wide = stored["spans"].select("row", "base", F.explode("wide").alias("c")).select("row", "base", "c.*")
+    assert stored["candidates"].count() == pii.examples(wide).count() >= 100
+    assert "SinglePartition" not in plans["candidates"]
+
+
 def test_empty_table_and_texts_without_candidates(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert pii.find_personal_data(empty).collect() == []
