@@ -125,10 +125,19 @@ def _kpi_by_site(spark: SparkSession, root: str) -> DataFrame:
     return dashboard.kpi_summary(t.materials, report)
 
 
+def _with_stored_demand(t: PlanningTables) -> PlanningTables:
+    """The tables, of which history and forecast are stored when first used: what reads them several times need not join
+    orders and lines each time."""
+    stored = ("actuals", "forecast")
+    return PlanningTables(lambda field: materialise(getattr(t, field), f"input-{field}") if field in stored else getattr(t, field))
+
+
 def _stored_cycle(spark: SparkSession, root: str, run: Callable[..., cycle.Cycle], **options: int) -> cycle.Cycle:
     """A planning cycle, every stage in a table of its own, read back."""
     store = f"{stage_root(spark)}/cycles-{uuid.uuid4().hex}"
     t = starschema.planning_tables(spark, root, CALENDAR)
+    if run is cycle.refresh:
+        t = _with_stored_demand(t)
     save = cycle.cycle_store(store, CALENDAR.as_of)
     return run(t, CALENDAR.as_of, save, horizon_months=CALENDAR.horizon_months, **options)
 

@@ -68,23 +68,35 @@ REFERENCES = [
 def _references(tables: PlanningTables, field: str, history_months: int) -> DataFrame:
     """Orphan counts of a table, and for the demand history its incomplete groups, as (Check_Name, Violations).
 
-    One aggregation to distinct keys serves all of them; the masters then meet keys, not rows.
+    The table is read once. Its references are stacked and reduced to one row per reference and key, on the map side
+    first; the masters, stacked likewise, then meet keys, not rows or pairs of keys.
     """
     df = getattr(tables, field)
     masters = {key: master for owner, master, key in REFERENCES if owner == field}
-    counts = [F.count("*").alias("n")]
+    zero = F.lit(0).cast("bigint")
     if field == "actuals":
-        counts.append(F.count_distinct("Demand_Month").alias("months"))
-    keys = df.groupBy(*masters).agg(*counts)
-    for key, master in masters.items():
-        known = getattr(tables, master).select(F.col(key).alias(f"_{key}")).distinct()
-        keys = keys.join(known, F.col(key) == F.col(f"_{key}"), "left")
+        rows = df.groupBy(*masters).agg(F.count("*").alias("n"), F.count_distinct("Demand_Month").alias("months"))
+        incomplete = (F.col("months") != history_months).cast("bigint")
+    else:
+        rows, incomplete = df.withColumn("n", F.lit(1).cast("bigint")), zero
+    pairs = [
+        F.struct(F.lit(key).alias("reference"), F.col(key).alias("value"), "n", (zero if i else incomplete).alias("incomplete"))
+        for i, key in enumerate(masters)
+    ]
+    keys = rows.select(F.inline(F.array(*pairs))).groupBy("reference", "value").agg(
+        F.sum("n").alias("n"), F.sum("incomplete").alias("incomplete")
+    )
+    known = union_all(
+        getattr(tables, master).select(F.lit(key).alias("_reference"), F.col(key).alias("_value")) for key, master in masters.items()
+    ).distinct()
+    met = keys.join(known, (F.col("reference") == F.col("_reference")) & (F.col("value") == F.col("_value")), "left")
+    orphan = F.col("_value").isNull()
     checks = [
-        (f"Orphan_{key}", F.coalesce(F.sum(F.when(F.col(f"_{key}").isNull(), F.col("n"))), F.lit(0))) for key in masters
+        (f"Orphan_{key}", F.coalesce(F.sum(F.when(orphan & (F.col("reference") == key), F.col("n"))), zero)) for key in masters
     ]
     if field == "actuals":
-        checks.append(("Incomplete_History", F.count_if(F.col("months") != history_months)))
-    return unpivot(keys, checks)
+        checks.append(("Incomplete_History", F.coalesce(F.sum("incomplete"), zero)))
+    return unpivot(met, checks)
 
 
 def quality_summary(tables: PlanningTables, *, history_months: int = 24) -> DataFrame:

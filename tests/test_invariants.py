@@ -144,3 +144,21 @@ def test_the_report_joins_the_master_only(t):
     profile = materialise(cycle.profile_of(cycle.analysis_of(t, as_of=AS_OF, horizon_months=6)), "profile")
     plan = cycle.report_of(profile, materialise(t.materials, "materials"))._jdf.queryExecution().optimizedPlan().toString()
     assert sum("Join " in line for line in plan.split("\n")) == 1
+
+
+def test_references_join_the_masters_once(t):
+    from shelfcast.plans import validation
+
+    plan = validation._references(t, "actuals", 24)._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.split("\n") if "Join LeftOuter" in line]
+    assert len(joins) == 1 and "reference" in joins[0]
+
+
+def test_stored_demand_is_joined_once(spark, data_dir):
+    import __spark_entry__ as entry_module
+
+    t = entry_module._with_stored_demand(starschema.planning_tables(spark, data_dir))
+    assert t.forecast is t.forecast
+    for stored in (t.actuals, t.forecast):
+        plan = stored._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in plan and "o_orderdate" not in plan
