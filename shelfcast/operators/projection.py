@@ -117,6 +117,7 @@ def unmatched_supply(forecast: DataFrame, supply: DataFrame) -> DataFrame:
 
 STOCK_KEYS = ["Material_ID", "Site_ID"]
 STOCK_UNITS = ["Available_Inventory_Units", "Safety_Stock_Units"]
+OPENING = ["Starting_Inventory", "Safety_Stock_Units"]
 
 
 def latest_snapshot(inventory: DataFrame, as_of: dt.date) -> DataFrame:
@@ -132,15 +133,13 @@ def latest_snapshot(inventory: DataFrame, as_of: dt.date) -> DataFrame:
     return last.select(*STOCK_KEYS, *[F.col(f"last.{c}").alias(c) for c in STOCK_UNITS], F.col("last.n").alias("n"))
 
 
-def _one_stock_row(stock: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per key, or a failing job: a second row would count the monthly flow twice."""
+def _one_stock_row(stock: DataFrame, keys: list[str], *, grouped: bool = False) -> DataFrame:
+    """One row per key, or a failing job: a second row would count the monthly flow twice. ``grouped`` rows are one per key
+    already, and only their ``n`` is checked."""
     fields = [c for c in (*STOCK_KEYS, *STOCK_UNITS) if c not in keys]
     problem = F.concat(F.lit("several inventory rows for "), F.concat_ws("/", *keys))
-    return (
-        stock.groupBy(*keys)
-        .agg(F.sum("n").alias("n"), *[F.max(c).alias(c) for c in fields])
-        .select(*keys, *[F.when(F.col("n") == 1, F.col(c)).otherwise(F.raise_error(problem)).alias(c) for c in fields])
-    )
+    rows = stock if grouped else stock.groupBy(*keys).agg(F.sum("n").alias("n"), *[F.max(c).alias(c) for c in fields])
+    return rows.select(*keys, *[F.when(F.col("n") == 1, F.col(c)).otherwise(F.raise_error(problem)).alias(c) for c in fields])
 
 
 def opening_stock(
@@ -158,13 +157,16 @@ def opening_stock(
         rows = inventory.filter(F.col("Material_ID").isNotNull()).select(*STOCK_KEYS, *STOCK_UNITS, F.lit(1).alias("n"))
     else:
         rows = latest_snapshot(inventory, as_of)
-    stock = _one_stock_row(rows, ["Material_ID"] if site_mode == "single" else STOCK_KEYS)
+    if site_mode == "single":
+        stock = _one_stock_row(rows, ["Material_ID"])
+    else:
+        stock = _one_stock_row(rows, STOCK_KEYS, grouped=as_of is not None)
     if site_mode == "pooled":
         stock = stock.groupBy("Material_ID").agg(
             F.when(F.count("*") > 1, pooled_site).otherwise(F.max("Site_ID")).alias("Site_ID"),
             *[F.sum(c).alias(c) for c in STOCK_UNITS],
         )
-    return stock.select(*STOCK_KEYS, F.col(STOCK_UNITS[0]).alias("Starting_Inventory"), STOCK_UNITS[1])
+    return stock.select(*STOCK_KEYS, *[F.col(units).alias(c) for units, c in zip(STOCK_UNITS, OPENING)])
 
 
 def site_shares(stock: DataFrame, supply: DataFrame) -> DataFrame:
@@ -173,19 +175,13 @@ def site_shares(stock: DataFrame, supply: DataFrame) -> DataFrame:
 
     Sites that only receive supply have an opening stock of 0. A site's share is its opening stock (none if negative); without
     any stock the first site by Site_ID has it all. Shares are cumulative along Site_ID, so that what is split by them adds up.
-    A window holds the sites of one material.
+    A window holds the sites of one material. ``stock`` has one row per material and site.
+
+    Stock and receiving sites are placed alike by their aggregations, so joining them neither shuffles nor keeps all sites in
+    hash tables once more.
     """
-    received = supply.filter(F.col("Site_ID").isNotNull()).select(*STOCK_KEYS).distinct()
-    sites = (
-        stock.select("*", F.lit(1).alias("stocked"))
-        .unionByName(received.select("*", F.lit(0).alias("stocked")), allowMissingColumns=True)
-        .groupBy(*STOCK_KEYS)
-        .agg(
-            F.max("stocked").alias("stocked"),
-            F.coalesce(F.max("Starting_Inventory"), F.lit(0)).alias("Starting_Inventory"),
-            F.coalesce(F.max("Safety_Stock_Units"), F.lit(0)).alias("Safety_Stock_Units"),
-        )
-    )
+    received = supply.filter(F.col("Site_ID").isNotNull() & F.col("Material_ID").isNotNull()).select(*STOCK_KEYS).distinct()
+    sites = stock.withColumn("stocked", F.lit(1)).join(received, STOCK_KEYS, "full").fillna(0, [*OPENING, "stocked"])
     ordered = Window.partitionBy("Material_ID").orderBy(F.asc_nulls_first("Site_ID"))
     whole = Window.partitionBy("Material_ID")
     so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -211,7 +207,8 @@ def site_balance(forecast: DataFrame, supply: DataFrame, stock: DataFrame, *, sp
     per month, without site and opening stock.
 
     The shares are evaluated and stored here and now: forecast, receipts and opening stock read them, and no task sorts the
-    sites for several of them at once.
+    sites for several of them at once. A month of a site has one row of forecast, which brings the opening stock along, and one
+    of receipts: they are joined, as summing both again would hold all of them in two hash tables of one task.
     """
     if spine not in SPINES:
         raise ValueError(f"spine must be one of {SPINES}, not {spine!r}")
@@ -221,11 +218,17 @@ def site_balance(forecast: DataFrame, supply: DataFrame, stock: DataFrame, *, sp
     to_here = F.expr("(Forecast_Units * To_Share) div All_Shares")
     before = F.expr("(Forecast_Units * From_Share) div All_Shares")
     split = monthly.join(sites, "Material_ID", "left").select(
-        "Month", *STOCK_KEYS, F.when(F.col("All_Shares").isNull(), units).otherwise(to_here - before).alias("Forecast_Units")
+        "Month",
+        *STOCK_KEYS,
+        F.when(F.col("All_Shares").isNull(), units).otherwise(to_here - before).alias("Forecast_Units"),
+        *OPENING,
+        F.lit(1).alias("has_forecast"),
     )
     first = sites.where(F.col("Site_ID").eqNullSafe(F.col("First_Site.Site_ID"))).select(
         F.col("Material_ID").alias("_material"), F.col("First_Site").alias("_first")
     )
+    if spine == "forecast":
+        supply = supply.filter(F.col("Receipt_Month").isNotNull() & F.col("Material_ID").isNotNull())
     receipts = (
         supply.groupBy(F.col("Receipt_Month").alias("Month"), *STOCK_KEYS)
         .agg(*[F.sum(_units_with_status(status)).alias(column) for column, status in SUPPLY_COLUMNS.items()])
@@ -234,12 +237,31 @@ def site_balance(forecast: DataFrame, supply: DataFrame, stock: DataFrame, *, sp
             "Site_ID",
             F.when(F.col("_material").isNotNull(), F.coalesce(F.col("Site_ID"), F.col("_first.Site_ID"))),
         )
-        .drop("_material", "_first")
+        .groupBy("Month", *STOCK_KEYS)
+        .agg(*[F.sum(column).alias(column) for column in SUPPLY_COLUMNS])
     )
-    flow = _balanced(split, receipts, STOCK_KEYS, spine)
-    opening = sites.select(*[F.col(c).alias(f"_{c}") for c in STOCK_KEYS], "Starting_Inventory", "Safety_Stock_Units")
-    same = (F.col("Material_ID") == F.col("_Material_ID")) & F.col("Site_ID").eqNullSafe(F.col("_Site_ID"))
-    return flow.join(opening, same, "left").drop("_Material_ID", "_Site_ID")
+    if spine == "union":  # months without forecast get their opening stock from the site
+        receipts = _at_site(receipts, sites.select(*STOCK_KEYS, *OPENING), STOCK_KEYS, "left")
+        receipts = receipts.withColumnsRenamed({c: f"_opening_{c}" for c in OPENING})
+    # A receipt that misses month or material matches no forecast.
+    flow = _at_site(split, receipts, ["Month", *STOCK_KEYS], "left" if spine == "forecast" else "full")
+    flow = flow.fillna(0, list(SUPPLY_COLUMNS))
+    if spine == "union":
+        flow = flow.withColumns(
+            {c: F.when(F.col("has_forecast") == 1, F.col(c)).otherwise(F.col(f"_opening_{c}")) for c in OPENING}
+            | {"Forecast_Units": F.when(F.col("has_forecast") == 1, units).otherwise(0)}
+        )
+    return flow.select("Month", *STOCK_KEYS, "Forecast_Units", *SUPPLY_COLUMNS, *OPENING)
+
+
+def _at_site(df: DataFrame, other: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Join on ``keys``, of which a missing site, and no other, equals a missing site."""
+    right = other.withColumnsRenamed({key: f"_{key}" for key in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) if k == "Site_ID" else F.col(k) == F.col(f"_{k}") for k in keys]
+    joined = df.join(right, same, how)
+    if how == "full":
+        joined = joined.withColumns({k: F.coalesce(k, f"_{k}") for k in keys})
+    return joined.drop(*[f"_{k}" for k in keys])
 
 
 def running_inventory(supply_columns: list[str] | tuple[str, ...]) -> Column:

@@ -436,3 +436,39 @@ def test_shares_of_sites_are_computed_once(two_sites):
     assert "Window" not in flow._jdf.queryExecution().optimizedPlan().toString()
     got = keyed(flow, "Starting_Inventory", "Forecast_Units", key=("Site_ID", "Month"))
     assert got == {("S1", M1): (10, 5), ("S1", M2): (10, 5), ("S2", M1): (20, 10), ("S2", M2): (20, 10)}
+
+
+def test_rows_of_sites_are_joined_not_stacked_and_summed(two_sites):
+    stock = projection.opening_stock(two_sites.inventory, as_of=AS_OF, site_mode="by_site")
+    shares = projection.site_shares(stock, two_sites.supply)
+    flow = projection.site_balance(two_sites.forecast, two_sites.supply, stock)
+    for df in (shares, flow):
+        assert "Union" not in df._jdf.queryExecution().optimizedPlan().toString()
+    # one count of the day, one last day, one distinct site: nothing is grouped by material and site a fourth time
+    assert shares._jdf.queryExecution().optimizedPlan().toString().count("Aggregate [") == 3
+
+
+@pytest.mark.parametrize("spine", projection.SPINES)
+def test_sites_with_missing_keys_and_values(spark, spine):
+    case = tables(
+        spark,
+        forecast=[(M1, "C1", "G", 9, 9, 9), (M1, "C1", "N", 4, 4, 4), (M1, "C1", None, 3, 3, 3), (None, "C1", "G", 5, 5, 5),
+                  (M2, "C1", "G", None, 1, 1)],
+        supply=[("1", "G", None, M1, 7, "Confirmed", "x"), ("2", "G", "S1", M1, 1, "Confirmed", "x"),
+                ("3", "G", "S9", M2, 2, "Planned", "x"), ("4", "N", "S1", M1, 6, "Confirmed", "x"),
+                ("5", None, "S1", M1, 8, "Confirmed", "x"), ("6", "G", "S2", None, 3, "Confirmed", "x"),
+                ("7", "G", "S2", M3, 2, None, "x")],
+        inventory=[(AS_OF, "G", "S1", 10, 0, 10, 1), (AS_OF, "G", "S2", 20, 0, 20, 2)],
+    )
+    stock = projection.opening_stock(case.inventory, as_of=AS_OF, site_mode="by_site")
+    flow = projection.site_balance(case.forecast, case.supply, stock, spine=spine)
+    columns = ("Material_ID", "Site_ID", "Month", "Starting_Inventory", "Forecast_Units", "Confirmed_Supply", "Planned_Supply", "Unknown_Supply")
+    expected = [
+        ("G", "S1", M1, 10, 3, 8, 0, 0), ("G", "S2", M1, 20, 6, 0, 0, 0), ("G", "S9", M1, 0, 0, 0, 0, 0),
+        ("G", "S1", M2, 10, None, 0, 0, 0), ("G", "S2", M2, 20, None, 0, 0, 0), ("G", "S9", M2, 0, None, 0, 2, 0),
+        ("G", "S1", None, 10, 1, 0, 0, 0), ("G", "S2", None, 20, 4, 0, 0, 0), ("G", "S9", None, 0, 0, 0, 0, 0),
+        ("N", None, M1, None, 4, 6, 0, 0), (None, None, M1, None, 3, 0, 0, 0),
+    ]
+    if spine == "union":  # receipts without material, without month, and of a month without forecast
+        expected += [(None, None, M1, None, 0, 8, 0, 0), ("G", "S2", None, 20, 0, 3, 0, 0), ("G", "S2", M3, 20, 0, 0, 0, 2)]
+    assert sorted(map(tuple, flow.select(*columns).collect()), key=repr) == sorted(expected, key=repr)
