@@ -7,11 +7,13 @@ compared on their own: every window of ``min_bytes`` bytes belongs to the piece
 anchor), equal windows have equal anchors at equal distances, and only pieces with the same anchor can share windows.
 Aligned at the anchor, all pieces of a group take part in the same rounds, and the order of the current column is all
 that a round needs.
+
+The strings are the bytes of the texts (``without_repeats``) or the hashes of their words (``repeated_passages``).
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -26,23 +28,36 @@ from shelfcast.sources.tables import stored_so_far
 
 MIN_BYTES = 400
 ANCHOR_BYTES = 64
-CUT_BYTES = 1 << 20  # longer texts are indexed in overlapping cuts
+MIN_WORDS = 51
+ANCHOR_WORDS = 8
+WORD_BYTES = 8
+CUT_BYTES = 1 << 20  # longer texts are indexed in overlapping cuts (of as many words, where words are compared)
 BLOCK_BYTES = 8 << 20  # pieces that go through the rounds together
 HOT_CONTENTS = 1 << 12  # a content with more than this part of all pieces is hot: there are fewer than this many
 GROUP_PIECES = 1 << 16  # larger groups are compared window by window, see ``_crowded``
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
+def utf8(text: str) -> bytes:
+    return text.encode("utf-8", "surrogatepass")
+
+
+def word_hashes(text: str) -> bytes:
+    """``WORD_BYTES`` bytes for each word ``[^\\x20\\x09-\\x0D]+``, a 64-bit hash of it."""
+    return b"".join(map(xxhash.xxh3_64_digest, utf8(text).split()))
+
+
 class Anchors:
-    """Cuts texts into pieces of consecutive windows with the same anchor."""
+    """Cuts texts into pieces of consecutive windows with the same anchor. All lengths and positions are in symbols of
+    ``width`` bytes, 1 or 8."""
 
-    def __init__(self, min_bytes: int, anchor_bytes: int) -> None:
-        self.min_bytes, self.anchor_bytes = min_bytes, anchor_bytes
+    def __init__(self, min_bytes: int, anchor_bytes: int, width: int = 1) -> None:
+        self.min_bytes, self.anchor_bytes, self.width = min_bytes, anchor_bytes, width
         size = CUT_BYTES + min_bytes
         self.up, self.down = powers(size + 1)
 
     def hashes(self, data: np.ndarray) -> np.ndarray:
-        """A hash of the ``anchor_bytes`` bytes at each position, from prefix sums."""
+        """A hash of the ``anchor_bytes`` symbols at each position, from prefix sums."""
         prefix = np.zeros(len(data) + 1, np.uint64)
         np.cumsum((data.astype(np.uint64) + np.uint64(1)) * self.up[: len(data)], out=prefix[1:])
         n = len(data) - self.anchor_bytes + 1
@@ -53,8 +68,9 @@ class Anchors:
 
     def pieces(self, text: bytes) -> Iterator[tuple[np.ndarray, ...]]:
         """Arrays (start, windows, anchor's distance from the start, anchor hash) for each cut of a text."""
-        for cut in range(0, len(text) - self.min_bytes + 1, CUT_BYTES):
-            data = np.frombuffer(text, np.uint8)[cut : cut + CUT_BYTES + self.min_bytes - 1]
+        symbols = np.frombuffer(text, f"u{self.width}")
+        for cut in range(0, len(symbols) - self.min_bytes + 1, CUT_BYTES):
+            data = symbols[cut : cut + CUT_BYTES + self.min_bytes - 1]
             hashed = self.hashes(data)
             reach = self.min_bytes - self.anchor_bytes + 1
             windows = len(data) - self.min_bytes + 1
@@ -71,19 +87,20 @@ class Anchors:
             yield cut + start, np.diff(np.append(start, windows)), anchor[start] - start, hashed[anchor[start]]
 
 
-def _index(anchors: Anchors):
+def _index(anchors: Anchors, encode: Callable[[str], bytes]):
     """Rows of ``_PIECES`` for batches of (a, b, text)."""
+    width = anchors.width
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: list[list[np.ndarray]] = []
             size = 0
             for a, b, text in zip(*(batch.column(i) for i in range(3))):
-                data = text.as_py().encode("utf-8", "surrogatepass")
+                data = encode(text.as_py())
                 for start, windows, at, key in anchors.pieces(data):
-                    ends = start + windows + anchors.min_bytes - 1
+                    ends = width * (start + windows + anchors.min_bytes - 1)
                     content = np.fromiter(
-                        (xxhash.xxh3_64_intdigest(data[i:j]) for i, j in zip(start.tolist(), ends.tolist())), np.uint64
+                        (xxhash.xxh3_64_intdigest(data[i:j]) for i, j in zip((width * start).tolist(), ends.tolist())), np.uint64
                     )
                     rows.append([np.full(len(start), a.as_py()), np.full(len(start), b.as_py()), start, windows, at,
                                  key.view(np.int64), content.view(np.int64)])
@@ -175,18 +192,21 @@ _SPANS = "a long, b long, start long, windows long"
 _TEXTS = "a long, b long, start long, windows int, at int, key long, content long, copies long, piece binary"
 
 
-def _rounds(min_bytes: int):
+def _rounds(min_bytes: int, width: int):
     """Spans of the pieces with one copy, for batches sorted by key; groups stay whole across batches."""
 
     def work(rows: pd.DataFrame) -> pd.DataFrame:
         group = (rows["key"].to_numpy()[1:] != rows["key"].to_numpy()[:-1]).cumsum()
-        hits = column_rounds(rows["piece"].tolist(), rows["at"].to_numpy(np.int64), np.append(0, group), min_bytes)
+        at = width * rows["at"].to_numpy(np.int64)
+        hits = column_rounds(rows["piece"].tolist(), at, np.append(0, group), width * min_bytes)
         hits = hits[rows["copies"].to_numpy()[hits[:, 0]] == 1]
+        first = -(-hits[:, 1] // width)  # windows that start inside a symbol do not count
+        windows = (hits[:, 1] + hits[:, 2] - 1) // width - first + 1
+        hits, first, windows = hits[windows > 0], first[windows > 0], windows[windows > 0]
         of = rows.iloc[hits[:, 0]]
         return pd.DataFrame(
-            {"a": of["a"].to_numpy(), "b": of["b"].to_numpy(), "start": of["start"].to_numpy() + hits[:, 1],
-             "windows": hits[:, 2]}
-        )
+            {"a": of["a"].to_numpy(), "b": of["b"].to_numpy(), "start": of["start"].to_numpy() + first, "windows": windows}
+        )
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[pd.DataFrame] = []
@@ -209,23 +229,23 @@ def _rounds(min_bytes: int):
     return run
 
 
-def _slices(min_bytes: int):
+def _slices(min_bytes: int, encode: Callable[[str], bytes], width: int):
     """The bytes of the wanted pieces, for batches of (text, pieces)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for text, a, b, pieces in zip(batch["text"], batch["a"], batch["b"], batch["pieces"]):
-                data = text.encode("utf-8", "surrogatepass")
+                data = encode(text)
                 for p in pieces:
                     rows.append((a, b, p["start"], p["windows"], p["at"], p["key"], p["content"], p["copies"],
-                                 data[p["start"] : p["start"] + p["windows"] + min_bytes - 1]))
+                                 data[width * p["start"] : width * (p["start"] + p["windows"] + min_bytes - 1)]))
             yield pd.DataFrame(rows, columns=[c.split()[0] for c in _TEXTS.split(", ")])
 
     return run
 
 
-def _crowded(pieces: DataFrame, min_bytes: int) -> DataFrame:
+def _crowded(pieces: DataFrame, min_bytes: int, width: int) -> DataFrame:
     """The spans of groups with very many different pieces: their windows are counted by a 128-bit hash, with partial
     sums before the shuffle, so that no task ever holds such a group."""
 
@@ -233,7 +253,7 @@ def _crowded(pieces: DataFrame, min_bytes: int) -> DataFrame:
         for batch in batches:
             for row in batch.itertuples(index=False):
                 n = row.windows
-                digests = [xxhash.xxh3_128_digest(row.piece[i : i + min_bytes]) for i in range(n)]
+                digests = [xxhash.xxh3_128_digest(row.piece[width * i : width * (i + min_bytes)]) for i in range(n)]
                 pair = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
                 yield pd.DataFrame({"h": pair[:, 0], "g": pair[:, 1], "a": row.a, "b": row.b,
                                     "start": row.start + np.arange(n), "copies": row.copies})
@@ -257,15 +277,18 @@ def repeated_windows(
     min_bytes: int = MIN_BYTES,
     anchor_bytes: int = ANCHOR_BYTES,
     group_pieces: int = GROUP_PIECES,
+    encode: Callable[[str], bytes] = utf8,
+    width: int = 1,
 ) -> DataFrame:
     """Spans ``a, b, start, windows`` of windows that occur elsewhere: the ``min_bytes`` bytes at each of ``windows``
-    starts from ``start`` on. ``texts`` has ``a, b, text`` of ``identified``, with copies.
+    starts from ``start`` on. ``texts`` has ``a, b, text`` of ``identified``, with copies. With a ``width``, the symbols
+    that ``encode`` gives have that many bytes, and all lengths and positions are in symbols.
 
     Only hashes of the pieces are shuffled for all texts; the bytes follow for one piece of each different content
     whose anchor others share, from texts that have such pieces (``sifted``): copies and unrelated texts stay where
     they are.
     """
-    pieces = staged(texts.select("a", "b", "text").mapInArrow(_index(Anchors(min_bytes, anchor_bytes)), _PIECES), "pieces")
+    pieces = staged(texts.select("a", "b", "text").mapInArrow(_index(Anchors(min_bytes, anchor_bytes, width), encode), _PIECES), "pieces")
     # Stored, like the groups below: a join right after the aggregation would use its shuffle, and a hot anchor's pieces
     # could not be split.
     anchors = staged(
@@ -308,7 +331,7 @@ def repeated_windows(
     likely = sifted(texts.select("a", "b", "text"), wanted, "a", "likely").where("likely")
     source = likely.groupBy("a", "b").agg(F.first("text").alias("text"))
     columns = f"{_TEXTS}, members long"
-    cut = _slices(min_bytes)
+    cut = _slices(min_bytes, encode, width)
 
     def cuts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -319,8 +342,12 @@ def repeated_windows(
     bytes_of = staged(found, "bytes")
     usual = bytes_of.where(F.col("members") <= group_pieces).drop("members")
     crowded = bytes_of.where(F.col("members") > group_pieces).drop("members")
-    rounds = usual.repartition("key").sortWithinPartitions("key").mapInPandas(_rounds(min_bytes), _SPANS)
-    return alike.unionByName(copied).unionByName(rounds).unionByName(_crowded(crowded, min_bytes))
+    rounds = usual.repartition("key").sortWithinPartitions("key").mapInPandas(_rounds(min_bytes, width), _SPANS)
+    return alike.unionByName(copied).unionByName(rounds).unionByName(_crowded(crowded, min_bytes, width))
+
+
+def _by_text(windows: DataFrame) -> DataFrame:
+    return windows.groupBy("a", "b").agg(F.collect_set(F.struct("start", "windows")).alias("spans"))
 
 
 def without_repeats(docs: DataFrame, column: str = "text", *, min_bytes: int = MIN_BYTES, **options: int) -> DataFrame:
@@ -336,14 +363,13 @@ def without_repeats(docs: DataFrame, column: str = "text", *, min_bytes: int = M
     mark = stored_so_far()
     texts = identified(docs.drop("n_bytes", "removed", "kept", "spans"), column)
     windows = repeated_windows(texts, min_bytes=min_bytes, **options)
-    spans = windows.groupBy("a", "b").agg(F.collect_set(F.struct("start", "windows")).alias("spans"))
-    spans = staged(spans, "spans", since=mark)
+    spans = staged(_by_text(windows), "spans", since=mark)
 
     @arrow_udf("n_bytes long, removed array<struct<start:long,end:long>>, kept binary")
     def cut(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for text, lists in columns:
             yield pa.array(
-                [_cut(t.as_py().encode("utf-8", "surrogatepass"), s.as_py(), min_bytes) for t, s in zip(text, lists)],
+                [_cut(utf8(t.as_py()), s.as_py(), min_bytes) for t, s in zip(text, lists)],
                 pa.struct([("n_bytes", pa.int64()),
                            ("removed", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
                            ("kept", pa.binary())]),
@@ -358,15 +384,43 @@ def without_repeats(docs: DataFrame, column: str = "text", *, min_bytes: int = M
     return joined.select(*extra, f"{found}.*")
 
 
+def repeated_passages(
+    docs: DataFrame, column: str = "text", *, min_words: int = MIN_WORDS, anchor_words: int = ANCHOR_WORDS, **options: int
+) -> DataFrame:
+    """Rows ``a, b, passages`` for the texts, by their identity (``identified``), in which ``min_words`` words also start
+    anywhere else, in any text or the same one: the maximal runs of words so covered, as structs of start and end.
+
+    Words are ``[^\\x20\\x09-\\x0D]+``, compared as they are by 64-bit hashes, whatever the white space between them.
+    Equal texts of several rows are elsewhere for one another, and have one row here. Null texts are empty; an empty
+    table gives no rows.
+    """
+    mark = stored_so_far()
+    windows = repeated_windows(identified(docs, column), min_bytes=min_words, anchor_bytes=anchor_words,
+                               encode=word_hashes, width=WORD_BYTES, **options)
+
+    @arrow_udf("array<struct<start:long,end:long>>")
+    def merged(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for lists in columns:
+            runs = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+            yield pa.array([_runs(s.as_py(), min_words) for s in lists], runs)
+
+    return staged(_by_text(windows).select("a", "b", merged("spans").alias("passages")), "passages", since=mark)
+
+
+def _runs(spans: list[dict], min_bytes: int) -> list[dict]:
+    runs: list[dict] = []
+    for start, end in sorted((s["start"], s["start"] + s["windows"] + min_bytes - 1) for s in spans):
+        if runs and start <= runs[-1]["end"]:
+            runs[-1]["end"] = max(end, runs[-1]["end"])
+        else:
+            runs.append({"start": start, "end": end})
+    return runs
+
+
 def _cut(data: bytes, spans: list[dict] | None, min_bytes: int) -> dict:
     if not spans:
         return {"n_bytes": len(data), "removed": [], "kept": data}
-    removed: list[dict] = []
-    for start, end in sorted((s["start"], s["start"] + s["windows"] + min_bytes - 1) for s in spans):
-        if removed and start <= removed[-1]["end"]:
-            removed[-1]["end"] = max(end, removed[-1]["end"])
-        else:
-            removed.append({"start": start, "end": end})
+    removed = _runs(spans, min_bytes)
     at, kept = 0, []
     for run in removed:
         kept.append(data[at : run["start"]])
@@ -375,11 +429,23 @@ def _cut(data: bytes, spans: list[dict] | None, min_bytes: int) -> dict:
 
 
 def op10_repeats(spark: SparkSession, root: str) -> DataFrame:
-    found = without_repeats(table(spark, root, "documents").select("doc_id", "text"))
-    return found.select(
+    """What is removed, in bytes; and the words in passages of over 50 words that occur elsewhere, which removal leaves
+    where they have fewer bytes than a string that counts."""
+    docs = table(spark, root, "documents").select("doc_id", "text")
+    passages = repeated_passages(docs).withColumnsRenamed({"a": "text_a", "b": "text_b"})
+    named = identified(docs).withColumnsRenamed({"a": "text_a", "b": "text_b"})
+    found = without_repeats(named).select(
         "doc_id",
         "n_bytes",
         (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
         F.size("removed").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
+        "text_a",
+        "text_b",
+    )
+    words = F.aggregate("passages", F.lit(0).cast("long"), lambda n, p: n + p["end"] - p["start"])
+    return found.join(passages, ["text_a", "text_b"], "left").select(
+        *found.columns[:-2],
+        F.coalesce(words, F.lit(0)).alias("n_passage_words"),
+        F.when(F.col("passages").isNull(), 0).otherwise(F.size("passages")).cast("long").alias("n_passages"),
     )

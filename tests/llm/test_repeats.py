@@ -119,3 +119,50 @@ def test_hot_contents_are_found_like_others(spark, monkeypatch, hot):
     rows = sorted(out.collect(), key=lambda r: r.doc_id)
     got = [(r.n_bytes, r.n_bytes - len(r.kept), len(r.removed), hashlib.sha256(r.kept).hexdigest()) for r in rows]
     assert got == brute(texts, 50)
+
+
+def brute_passages(texts, n):
+    words = [(t or "").encode().split() for t in texts]
+    seen = Counter(tuple(w[i : i + n]) for w in words for i in range(len(w) - n + 1))
+    out = []
+    for w in words:
+        covered = sorted({j for i in range(len(w) - n + 1) if seen[tuple(w[i : i + n])] > 1 for j in range(i, i + n)})
+        starts = [j for j in covered if j - 1 not in covered]
+        ends = [j + 1 for j in covered if j + 1 not in covered]
+        out.append(list(zip(starts, ends)))
+    return out
+
+
+@pytest.mark.parametrize("alphabet, group", [("abcdefghéü", 1 << 16), ("ab", 1 << 16), ("ab", 2), ("abcdefghéü", 2)])
+def test_passages_against_brute_force(spark, alphabet, group):
+    rng = random.Random(7 * len(alphabet))
+    texts = [t and t.replace(" ", rng.choice([" ", "\n", " \t ", "\r\n"])) for t in corpus(rng, alphabet, 60)]
+    texts += ["ha " * 40, "a b " * 30, " ".join(texts[3].split()[1:]) + " z", "a b " * 5]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = repeats.repeated_passages(docs, min_words=9, anchor_words=3, group_pieces=group)
+    rows = repeats.identified(docs).join(found, ["a", "b"], "left").collect()
+    got = {r.doc_id: [(p.start, p.end) for p in r.passages or []] for r in rows}
+    expected = brute_passages(texts, 9)
+    assert any(expected) and not all(expected)
+    assert [got[i] for i in range(len(texts))] == expected
+
+
+def test_op10_counts_passages_of_over_50_words_that_have_under_400_bytes(spark, tmp_path):
+    rng = random.Random(4)
+
+    def own(n):
+        return " ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(n))
+
+    passage = " ".join("".join(rng.choices("abcdefgh", k=rng.randint(2, 6))) for _ in range(52))
+    fifty = " ".join(passage.split()[:50])
+    assert len(passage) < 400
+    texts = [f"{own(60)} {passage} {own(30)}", f"{own(9)}\n{passage}\n{own(80)}", f"{own(70)} {fifty} {own(5)}", own(90), None, ""]
+    twice = own(100)
+    texts += [twice, twice]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    out = repeats.op10_repeats(spark, str(tmp_path))
+    assert out.columns == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_passage_words", "n_passages"]
+    rows = sorted(out.collect())
+    assert [tuple(r)[1:5] for r in rows] == brute(texts, 400)
+    assert [(r.n_passage_words, r.n_passages) for r in rows] == [(52, 1)] * 2 + [(0, 0)] * 4 + [(100, 1)] * 2
